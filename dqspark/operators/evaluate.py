@@ -70,6 +70,13 @@ def evaluate(
     return reduce(DataFrame.unionByName, parts)
 
 
+def passes(rules: Sequence[Rule]) -> int:
+    """How often ``evaluate`` reads the table. Above one, store a table that is costly to derive."""
+    kinds = [type(rule) for rule in rules]
+    shared = sum(kind in kinds for kind in (MetricRule, GroupRule))
+    return shared + kinds.count(ReferenceRule) + kinds.count(SqlRule)
+
+
 def evaluate_all(
     tables: Mapping[str, DataFrame], rulesets: Mapping[str, Sequence[Rule]], prefix: str = ""
 ) -> DataFrame:

@@ -24,6 +24,7 @@ from dqspark.sources.writers import (
     insert_overwrite,
     materialize,
     upsert,
+    write_csv,
 )
 
 
@@ -39,7 +40,7 @@ def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales as a CSV file, read back as text and staged."""
     path = scratch_path(spark, "sales-csv")
-    raw_sales(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+    write_csv(raw_sales(spark, sf_dir), path)
     return w.cast_columns(read_csv(spark, path, w.RAW_SCHEMA))
 
 

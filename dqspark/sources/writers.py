@@ -12,11 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dqspark.operators.dedup import dedup
+from dqspark.session import stored
 from dqspark.sources.files import child_folders, file_exists, remove_folder
 
 _SNAPSHOT = "snapshot-"
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Headered CSV that ``read_csv`` reads back as it was, spaces included."""
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.options(header=True, escape='"', **spaces).csv(path)
+
+
 def snapshots(spark: SparkSession, path: str) -> list[str]:
     """Committed snapshot folders of a table, oldest first."""
     return [p for p in _snapshot_folders(spark, path) if file_exists(spark, f"{p}/_SUCCESS")]
@@ -53,15 +60,15 @@ def upsert(
 ) -> DataFrame:
     """Merge ``source`` into the table at ``target``: same key -> replaced, new key -> added.
 
-    The source is reduced to one row per key first. Only key columns take part in the join,
-    and rows of the target that stay are not reordered: Spark broadcasts the source keys if
-    they are small, otherwise both sides shuffle on the key and AQE splits hot ones.
+    The source is reduced to one row per key and, since it is read twice, written down first.
+    That also gives the join its true size: small, and Spark broadcasts the source's key columns
+    and leaves the target where it is; large, and both sides shuffle on the key.
     A NULL key matches nothing, as in SQL MERGE.
     """
     spark, rows = source.sparkSession, dedup(source, keys, order_by)
     if not snapshots(spark, target):
         return write_snapshot(rows, target, keep)
-    current = read_snapshot(spark, target)
+    current, rows = read_snapshot(spark, target), stored(rows, "upsert")
     untouched = current.join(rows.select(*keys), list(keys), "left_anti")
     return write_snapshot(untouched.unionByName(rows.select(*current.columns)), target, keep)
 
