@@ -8,10 +8,13 @@ into a row per rule. Everything stays a lazy DataFrame.
 from __future__ import annotations
 
 import threading
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StringType
 
 from dqspark.operators.rules import (
     Aggregates,
@@ -98,7 +101,7 @@ def failing_rows(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame] | No
     if isinstance(rule, ReferenceRule):
         return rule.failing_rows_in(df, (tables or {})[rule.parent])
     if isinstance(rule, SqlRule) and rule.returns_rows:
-        return _run_sql(df, rule.query, "primary", tables or {})
+        return _run_sql(df, [rule.query], "primary", tables or {})[0]
     return rule.failing_rows(df)
 
 
@@ -212,33 +215,35 @@ def _key_parts(df: DataFrame, rules: list[tuple[int, GroupRule]]) -> list[DataFr
 
 
 def _key_part(df: DataFrame, rules: list[tuple[int, GroupRule]]) -> DataFrame:
-    sets = list(dict.fromkeys(rule.columns for _, rule in rules))
-    counted, numbers = count_per_key(df, sets)
+    counted, keys = count_per_key(df, list(dict.fromkeys(rule.columns for _, rule in rules)))
     aggregates = Aggregates()
     rows = [
-        _row(position, rule, rule.read(KeyCounts(aggregates, rule.columns, numbers[rule.columns])))
-        for position, rule in rules
+        _row(position, rule, rule.read(KeyCounts(aggregates, *keys[rule.columns]))) for position, rule in rules
     ]
     return _unfold(counted.agg(*aggregates.columns()), rows)
 
 
 def count_per_key(
     df: DataFrame, sets: Sequence[tuple[str, ...]]
-) -> tuple[DataFrame, dict[tuple[str, ...], int]]:
+) -> tuple[DataFrame, dict[tuple[str, ...], tuple[tuple[str, ...], int]]]:
     """Row count ``n`` of every key, for several sets of key columns in one grouping.
 
-    Returns the counts and the number that ``key_set`` gives each set. Counts are combined on
-    the map side, so a key that holds a third of the rows leaves each map task as one row.
+    Returns the counts and, for each set, what its columns are called there and the number that
+    ``key_set`` gives it. Counts are combined on the map side, so a key that holds a third of
+    the rows leaves each map task as one row.
     """
     columns = list(dict.fromkeys(c for s in sets for c in s))
-    count = F.count(F.lit(1)).alias("n")
+    called = {c: f"key{i}" for i, c in enumerate(columns)}
+    keys = df.select(*[F.col(c).alias(called[c]) for c in columns])
+    count, names = F.count(F.lit(1)).alias("n"), {s: tuple(called[c] for c in s) for s in sets}
     if len(sets) == 1:
-        return df.groupBy(*columns).agg(count).withColumn("key_set", F.lit(0)), {sets[0]: 0}
+        counted = keys.groupBy(*keys.columns).agg(count).withColumn("key_set", F.lit(0))
+        return counted, {sets[0]: (names[sets[0]], 0)}
     bit = {c: 1 << (len(columns) - 1 - i) for i, c in enumerate(columns)}
-    numbers = {s: sum(bit[c] for c in columns if c not in s) for s in sets}
-    keys = [F.col(c) for c in columns]
-    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *keys)
-    return grouped.agg(count, F.grouping_id().alias("key_set")), numbers
+    number = {s: sum(bit[c] for c in columns if c not in s) for s in sets}
+    grouped = keys.groupingSets([[F.col(c) for c in names[s]] for s in sets], *[F.col(c) for c in keys.columns])
+    counted = grouped.agg(count, F.grouping_id().alias("key_set"))
+    return counted, {s: (names[s], number[s]) for s in sets}
 
 
 def _reference_part(
@@ -252,8 +257,12 @@ def _reference_part(
     parent = tables.get(rule.parent)
     if parent is None or rule.parent_column not in parent.columns:
         return _unfold(df.sparkSession.range(1), [_row(position, rule, Reading(), "fail")])
-    child_keys = df.select(F.col(rule.columns[0]).alias("k"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
-    parent_keys = parent.select(F.col(rule.parent_column).alias("k"), F.lit(0), F.lit(1))
+    child_key, parent_key = F.col(rule.columns[0]), F.col(rule.parent_column)
+    types = {df.schema[rule.columns[0]].dataType, parent.schema[rule.parent_column].dataType}
+    if len(types) > 1 and StringType() in types:  # text and numbers meet as text
+        child_key, parent_key = child_key.cast("string"), parent_key.cast("string")
+    child_keys = df.select(child_key.alias("k"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
+    parent_keys = parent.select(parent_key.alias("k"), F.lit(0), F.lit(1))
     keys = child_keys.union(parent_keys).groupBy("k").agg(F.sum("child").alias("n"), F.max("parent").alias("known"))
     orphaned = F.col("k").isNotNull() & (F.col("known") == 0)
     seen = keys.agg(
@@ -264,20 +273,46 @@ def _reference_part(
     return _unfold(seen, [_row(position, rule, reading)])
 
 
-def _run_sql(df: DataFrame, query: str, name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Resolve a query with the tables as views; the result does not depend on the views later."""
+@contextmanager
+def _named(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
+    """The tables as temporary views while queries are resolved; then the session as it was.
+
+    A resolved query keeps the tables it found, so it can run after the views are gone.
+    """
     with _views:
-        for view, table in {**tables, name: df, "primary": df}.items():
-            table.createOrReplaceTempView(view)
-        return df.sparkSession.sql(query)
+        before = {name: _temp_view(spark, name) for name in tables}
+        for name, table in tables.items():
+            table.createOrReplaceTempView(name)
+        try:
+            yield
+        finally:
+            for name, view in before.items():
+                if view is None:
+                    spark.catalog.dropTempView(name)
+                else:
+                    view.createOrReplaceTempView(name)
+
+
+def _temp_view(spark: SparkSession, name: str) -> DataFrame | None:
+    try:
+        return spark.table(name) if spark.catalog.getTable(name).isTemporary else None
+    except AnalysisException:
+        return None
+
+
+def _run_sql(df: DataFrame, queries: Sequence[str], name: str, tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    spark = df.sparkSession
+    with _named(spark, {**tables, name: df, "primary": df}):
+        return [spark.sql(query) for query in queries]
 
 
 def _sql_parts(
     df: DataFrame, rules: list[tuple[int, SqlRule]], name: str, tables: Mapping[str, DataFrame]
 ) -> list[DataFrame]:
-    parts = []
-    for position, rule in rules:
-        found = _run_sql(df, rule.query, name, tables)
+    if not rules:
+        return []
+    parts, results = [], _run_sql(df, [rule.query for _, rule in rules], name, tables)
+    for (position, rule), found in zip(rules, results):
         if rule.returns_rows:
             seen = found.agg(F.count(F.lit(1)).alias("n"))
             reading = Reading(None, F.col("n"), None, F.col("n") == 0)

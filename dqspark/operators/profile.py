@@ -63,11 +63,11 @@ def distinct_counts(df: DataFrame, batch: int = 16) -> DataFrame:
     parts = None
     for start in range(0, len(df.columns), batch):
         names = df.columns[start : start + batch]
-        counted, numbers = count_per_key(df.select(*names), [(c,) for c in names])
+        counted, keys = count_per_key(df, [(c,) for c in names])
         sums = counted.agg(
             *[
-                F.count_if((F.col("key_set") == numbers[(c,)]) & F.col(f"`{c}`").isNotNull()).alias(f"d{i}")
-                for i, c in enumerate(names)
+                F.count_if((F.col("key_set") == number) & F.col(key).isNotNull()).alias(f"d{i}")
+                for i, ((key,), number) in enumerate(keys[(c,)] for c in names)
             ]
         )
         rows = [

@@ -8,6 +8,8 @@ from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
+from dqspark.operators.joins import join_reduced
+
 
 def violations_below(df: DataFrame, column: str, bound: float = 0) -> DataFrame:
     return df.filter(F.col(column) < bound)
@@ -24,9 +26,13 @@ def violations_null(df: DataFrame, column: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Rows of ``child`` whose key has no parent; a NULL key refers to nothing and is left out."""
+    """Rows of ``child`` whose key has no parent; a NULL key refers to nothing and is left out.
+
+    Either side may have a hot key: parent keys are made distinct, which combines them on the
+    map side, and the join lets AQE split the child's.
+    """
     known = parent.select(F.col(pk).alias("_pk")).distinct()
-    return child.filter(F.col(fk).isNotNull()).join(known, F.col(fk) == F.col("_pk"), "left_anti")
+    return join_reduced(child, known, fk, "_pk", "left_anti")
 
 
 def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.types import DecimalType, StringType, StructType
 from dqspark.functions.clean import numeric_or_null, parse_count, parse_decimal_comma, parse_money, parse_number
 from dqspark.operators.dedup import dedup
 from dqspark.operators.evaluate import evaluate, evaluate_all, raise_if_failed
+from dqspark.operators.joins import join_reduced
 from dqspark.operators.rules import Rule
 from dqspark.plans.rulesets import DIM_RULESETS, FACT_RULESETS
 from dqspark.sources.readers import read_csv
@@ -145,16 +146,18 @@ def fact_sales_category(stg: DataFrame, products: DataFrame, users: DataFrame) -
 
     A product or user may have several rows in its dimension and then counts that often; the
     dimensions enter as key and number of rows, so joins never multiply sales. Sales are summed
-    per user and category before users are joined. The one join of all sales is with products:
-    Spark broadcasts the reduced dimension if it is small, otherwise AQE splits hot products.
+    per user and category before users are joined. The one join of all sales is with products,
+    where AQE can split a hot product.
     """
     price = F.col("actual_price")
     price = parse_money(price) if _is_text(stg, "actual_price") else price.try_cast("decimal(10,2)")
     sales = stg.select("product_id", "user_id", price.alias("price"))
-    categories = products.groupBy("product_id", "category").agg(F.count(F.lit(1)).alias("product_rows"))
+    categories = products.groupBy(F.col("product_id").alias("sold_id"), "category").agg(
+        F.count(F.lit(1)).alias("product_rows")
+    )
     known_users = users.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_rows"))
     summed = (
-        sales.join(categories, "product_id")
+        join_reduced(sales, categories, "product_id", "sold_id")
         .groupBy("user_id", "category")
         .agg(F.sum((F.col("price") * F.col("product_rows")).cast("decimal(20,2)")).alias("amount"))
     )

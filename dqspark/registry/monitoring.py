@@ -12,8 +12,10 @@ START, END = "2024-01-23T00:00:00+00:00", "2024-01-30T00:00:00+00:00"
 
 
 def _naive(df: DataFrame, column: str) -> DataFrame:
-    """An instant as the wall time of the session, which is UTC here and in the SQL."""
-    return df.withColumn(column, F.col(column).cast("timestamp_ntz"))
+    """An instant as its UTC wall time, whatever the zone of the session."""
+    return df.withColumn(
+        column, F.convert_timezone(None, F.lit("UTC"), F.col(column).cast("timestamp_ntz"))
+    )
 
 
 def _on_scans(query, *args):

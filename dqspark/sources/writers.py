@@ -8,11 +8,13 @@ executors or dies half way leaves the previous snapshot as the table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dqspark.operators.dedup import dedup
-from dqspark.session import stored
+from dqspark.session import scratch_path
 from dqspark.sources.files import child_folders, file_exists, remove_folder
 
 _SNAPSHOT = "snapshot-"
@@ -63,26 +65,30 @@ def upsert(
     The source is reduced to one row per key and, since it is read twice, written down first.
     That also gives the join its true size: small, and Spark broadcasts the source's key columns
     and leaves the target where it is; large, and both sides shuffle on the key.
-    A NULL key matches nothing, as in SQL MERGE.
+    A NULL in a key equals a NULL, as in the reduction to one row per key; were it to match
+    nothing, every refresh would add the rows with a NULL again.
     """
     spark, rows = source.sparkSession, dedup(source, keys, order_by)
     if not snapshots(spark, target):
         return write_snapshot(rows, target, keep)
-    current, rows = read_snapshot(spark, target), stored(rows, "upsert")
-    untouched = current.join(rows.select(*keys), list(keys), "left_anti")
-    return write_snapshot(untouched.unionByName(rows.select(*current.columns)), target, keep)
+    current, incoming = read_snapshot(spark, target), scratch_path(spark, "upsert")
+    rows.select(*current.columns).write.parquet(incoming)
+    rows = spark.read.parquet(incoming)
+    replaced = rows.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+    untouched = current.join(replaced, same, "left_anti")
+    merged = write_snapshot(untouched.unionByName(rows), target, keep)
+    remove_folder(spark, incoming)
+    return merged
 
 
 def merge_into(source: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[Column] = ()) -> None:
     """The same upsert as a MERGE, for a catalog whose tables support it (Delta, Iceberg)."""
-    match = [F.col(f"source.{k}") == F.col(f"{table}.{k}") for k in keys]
-    condition = match[0]
-    for part in match[1:]:
-        condition = condition & part
+    same = reduce(and_, [F.col(f"source.{k}").eqNullSafe(F.col(f"{table}.{k}")) for k in keys])
     (
         dedup(source, keys, order_by)
         .alias("source")
-        .mergeInto(table, condition)
+        .mergeInto(table, same)
         .whenMatched()
         .updateAll()
         .whenNotMatched()
