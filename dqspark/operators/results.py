@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from dqspark.functions.clean import default_text
 from dqspark.operators.evaluate import with_success
@@ -25,6 +25,11 @@ EXPECTATIONS = {
 }
 
 
+def preview(df: DataFrame, n: int = 5, *order_by: Column) -> DataFrame:
+    """The first rows, in the given order if there is one."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
+
+
 def suite_results(results: DataFrame, run_name: str, validation_time: str, asset: str) -> DataFrame:
     """Nine typed columns, a row per rule. A rule on no single column shows ``N/A``, a rule
     without counts shows 0."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, StringType, StructType
@@ -14,6 +13,7 @@ from dqspark.operators.evaluate import evaluate, evaluate_all, raise_if_failed
 from dqspark.operators.joins import join_reduced
 from dqspark.operators.rules import Rule
 from dqspark.plans.rulesets import DIM_RULESETS, FACT_RULESETS
+from dqspark.session import together
 from dqspark.sources.readers import read_csv
 from dqspark.sources.writers import append_results, materialize, upsert
 
@@ -178,13 +178,6 @@ def build(
     return raise_if_failed(results) if on_fail == "raise" else results
 
 
-def _together(jobs: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-    """Independent writes at the same time, so that one's last tasks leave no idle executors."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {name: pool.submit(job) for name, job in jobs.items()}
-        return {name: job.result() for name, job in running.items()}
-
-
 def refresh(
     spark: SparkSession,
     raw: DataFrame | str,
@@ -213,7 +206,7 @@ def refresh(
         return raise_if_failed(results) if raise_on_fail else results
 
     stg = save("stg_sales", cast_columns(rows))
-    tables = _together(
+    tables = together(
         {
             "dim_product": lambda: save("dim_product", dim_product(stg)),
             "dim_user": lambda: save("dim_user", dim_user(stg)),
@@ -222,7 +215,7 @@ def refresh(
     )
     dim_outcomes = check(tables, dim_rulesets)
     products, users, ratings = tables["dim_product"], tables["dim_user"], tables["dim_rating"]
-    tables |= _together(
+    tables |= together(
         {
             "fact_product_rating": lambda: save(
                 "fact_product_rating", fact_product_rating(stg, products, ratings)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from dqspark.operators.results import preview
 from dqspark.plans import monitor as m
 from dqspark.sources.sales import scan_rows, suite_rows
 
@@ -26,7 +27,14 @@ def _on_suites(query, *args):
     return lambda spark, sf_dir: query(suite_rows(spark, sf_dir), *args)
 
 
+def _top_failures(spark, sf_dir) -> DataFrame:
+    """The five asset columns with most failures."""
+    fails = m.fails_per_asset_column(suite_rows(spark, sf_dir))
+    return preview(fails, 5, F.desc("total_fails"), F.col("column"), F.col("data_asset_name"))
+
+
 QUERIES = {
+    "mon_top_failures": _top_failures,
     "mon_total_checks": _on_scans(m.total_checks, START, END),
     "mon_pass_rate": _on_scans(m.outcome_rate, "pass", START, END),
     "mon_fail_rate": _on_scans(m.outcome_rate, "fail", START, END),
@@ -71,6 +79,9 @@ recent AS (SELECT * FROM suites WHERE strptime(replace(validation_time, 'Z', '')
 _SHARE = "CAST(100 AS DOUBLE) * count(*) FILTER (WHERE {0}) / count(*)"
 
 ORACLES = {
+    "mon_top_failures": SUITES
+    + """SELECT "column", data_asset_name, count(*) AS total_fails FROM suites WHERE NOT success
+GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 5""",
     "mon_total_checks": SCANS + "SELECT count(DISTINCT metric) AS total_unique_checks FROM recent",
     "mon_pass_rate": SCANS + f"""SELECT {_SHARE.format("outcome = 'pass'")} AS pass_percent FROM recent""",
     "mon_fail_rate": SCANS + f"""SELECT {_SHARE.format("outcome = 'fail'")} AS fail_percent FROM recent""",

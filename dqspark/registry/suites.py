@@ -31,7 +31,7 @@ from dqspark.registry.sql import (
     unique,
     uniqueness,
 )
-from dqspark.session import stored
+from dqspark.session import stored, together
 from dqspark.sources.sales import raw_sales
 
 RUN_NAME, RUN_TIME, SCAN_TIME = "nightly", "20240130T010000.000000Z", "2024-01-30T01:00:00+00:00"
@@ -57,16 +57,20 @@ def _ready(table: DataFrame, rules: list) -> DataFrame:
 def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All five tables written down, the facts built from the stored dimensions."""
     raw = raw_sales(spark, sf_dir)
-    products = stored(w.dim_product(raw), "dim_product")
-    users = stored(w.dim_user(raw), "dim_user")
-    ratings = stored(w.dim_rating(raw), "dim_rating")
-    return {
-        "dim_product": products,
-        "dim_user": users,
-        "dim_rating": ratings,
-        "fact_product_rating": stored(w.fact_product_rating(raw, products, ratings), "fact_product_rating"),
-        "fact_sales_category": stored(w.fact_sales_category(raw, products, users), "fact_sales_category"),
-    }
+    dims = together(
+        {
+            "dim_product": lambda: stored(w.dim_product(raw), "dim_product"),
+            "dim_user": lambda: stored(w.dim_user(raw), "dim_user"),
+            "dim_rating": lambda: stored(w.dim_rating(raw), "dim_rating"),
+        }
+    )
+    products, users, ratings = dims["dim_product"], dims["dim_user"], dims["dim_rating"]
+    return dims | together(
+        {
+            "fact_product_rating": lambda: stored(w.fact_product_rating(raw, products, ratings), "fact"),
+            "fact_sales_category": lambda: stored(w.fact_sales_category(raw, products, users), "fact"),
+        }
+    )
 
 
 def obt_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

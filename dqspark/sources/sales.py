@@ -9,6 +9,16 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan out to all cores when it has fewer partitions than there are cores.
+
+    A small file with one row group is otherwise the work of one task. A table large enough to
+    keep the cluster busy has more partitions than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _every(column: str, n: int):
     return F.col(column) % n == 0
 
@@ -20,7 +30,7 @@ def _grouped(value, digits: int):
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sales file as it comes in: 16 text columns with currency signs, thousands commas, decimal
     commas, junk, blanks, NULLs, bad links and repeated review ids, one row per order line."""
-    line, order = given(spark, sf_dir, "lineitem"), given(spark, sf_dir, "orders")
+    line, order = spread(given(spark, sf_dir, "lineitem")), given(spark, sf_dir, "orders")
     part, customer = given(spark, sf_dir, "part"), given(spark, sf_dir, "customer")
     sales = (
         line.join(order, F.col("o_orderkey") == F.col("l_orderkey"))

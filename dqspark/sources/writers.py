@@ -60,41 +60,46 @@ def write_snapshot(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
 def upsert(
     source: DataFrame, target: str, keys: Sequence[str], order_by: Sequence[Column] = (), keep: int = 2
 ) -> DataFrame:
-    """Merge ``source`` into the table at ``target``: same key -> replaced, new key -> added.
+    """Merge ``source`` into a table: same key -> replaced, new key -> added. Returns the table.
 
-    The source is reduced to one row per key and, since it is read twice, written down first.
-    That also gives the join its true size: small, and Spark broadcasts the source's key columns
-    and leaves the target where it is; large, and both sides shuffle on the key.
-    A NULL in a key equals a NULL, as in the reduction to one row per key; were it to match
-    nothing, every refresh would add the rows with a NULL again.
+    ``target`` is the name of a catalog table that supports MERGE (Delta, Iceberg), where only
+    files with matches are rewritten, or the path of a Parquet table kept as snapshots.
+
+    The source is reduced to one row per key first. A NULL in a key equals a NULL there, and so
+    it does in the merge; were it to match nothing, every run would add such rows again.
     """
     spark, rows = source.sparkSession, dedup(source, keys, order_by)
+    if "/" not in target:
+        merge_into(rows, target, keys)
+        return spark.table(target)
     if not snapshots(spark, target):
         return write_snapshot(rows, target, keep)
+    return _merge_snapshot(rows, target, keys, keep)
+
+
+def _merge_snapshot(rows: DataFrame, target: str, keys: Sequence[str], keep: int) -> DataFrame:
+    """The next snapshot: rows of the last one whose key the source lacks, and the source.
+
+    The source is read twice and therefore written down first. That also gives the join its
+    true size: small, and Spark broadcasts the source's key columns and leaves the target where
+    it is; large, and both sides shuffle on the key.
+    """
+    spark = rows.sparkSession
     current, incoming = read_snapshot(spark, target), scratch_path(spark, "upsert")
     rows.select(*current.columns).write.parquet(incoming)
     rows = spark.read.parquet(incoming)
     replaced = rows.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
-    untouched = current.join(replaced, same, "left_anti")
-    merged = write_snapshot(untouched.unionByName(rows), target, keep)
+    merged = write_snapshot(current.join(replaced, same, "left_anti").unionByName(rows), target, keep)
     remove_folder(spark, incoming)
     return merged
 
 
-def merge_into(source: DataFrame, table: str, keys: Sequence[str], order_by: Sequence[Column] = ()) -> None:
-    """The same upsert as a MERGE, for a catalog whose tables support it (Delta, Iceberg)."""
+def merge_into(rows: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """MERGE rows, one per key, into a catalog table."""
     same = reduce(and_, [F.col(f"source.{k}").eqNullSafe(F.col(f"{table}.{k}")) for k in keys])
-    (
-        dedup(source, keys, order_by)
-        .alias("source")
-        .mergeInto(table, same)
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
+    merge = rows.alias("source").mergeInto(table, same)
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
 def ensure_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:

@@ -21,7 +21,6 @@ from dqspark.sources.writers import (
     ensure_table,
     insert_overwrite,
     materialize,
-    merge_into,
     read_snapshot,
     snapshots,
     upsert,
@@ -101,7 +100,7 @@ def test_missing_table(spark, tmp_path):
 def test_merge_needs_a_table_that_can(spark):
     materialize(table(spark, (1, "a")), "plain_parquet")
     with pytest.raises(Exception, match="MERGE|TABLE_OPERATION|not support"):
-        merge_into(table(spark, (1, "b")), "plain_parquet", ["k"])
+        upsert(table(spark, (1, "b")), "plain_parquet", ["k"])
 
 
 def test_catalog_writes(spark):
