@@ -7,8 +7,9 @@ into a row per rule. Everything stays a lazy DataFrame.
 
 from __future__ import annotations
 
+import json
 import threading
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -38,6 +39,11 @@ _MAX_KEY_COLUMNS = 32
 
 _views = threading.Lock()
 
+# A rule that cannot be answered for want of its column or table.
+FAILED = Reading(settled="fail")
+
+Answer = tuple[int, Rule, Reading]
+
 
 def evaluate(
     df: DataFrame,
@@ -55,9 +61,9 @@ def evaluate(
     answered, metric, keyed, parts = [], [], [], []
     for position, rule in numbered:
         if not isinstance(rule, SchemaRule) and not present.issuperset(rule.columns):
-            answered.append(_row(position, rule, Reading(passed=F.lit(False)), "fail"))
+            answered.append((position, rule, FAILED))
         elif isinstance(rule, SchemaRule):
-            answered.append(_schema_row(position, rule, df))
+            answered.append((position, rule, _schema_reading(rule, df)))
         elif isinstance(rule, MetricRule):
             metric.append((position, rule))
         elif isinstance(rule, GroupRule):
@@ -161,44 +167,59 @@ def raise_if_failed(results: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- rows
 
 
-def _row(position: int, rule: Rule, reading: Reading, outcome: str | None = None) -> Column:
-    def as_type(value: Column | None, sql_type: str) -> Column:
-        return (F.lit(None) if value is None else value).cast(sql_type)
+_ABOUT = "array<struct<position:int, rule:string, column:string, definition:string, metrics:array<string>>>"
 
-    fields = {
-        "position": F.lit(position).cast("int"),
-        "rule": F.lit(rule.rule),
-        "column": F.lit(rule.column).cast("string"),
-        "definition": F.lit(rule.definition),
-        "metrics": F.array(*[F.lit(m) for m in rule.metrics]).cast("array<string>"),
-        "element_count": as_type(reading.elements, "bigint"),
-        "unexpected_count": as_type(reading.unexpected, "bigint"),
-        "observed": as_type(reading.observed, "double"),
-        "outcome": F.lit(outcome) if outcome else rule.outcome(reading),
-    }
-    return F.struct(*[value.alias(name) for name, value in fields.items()])
 
+def _unfold(one_row: DataFrame, answers: Sequence[Answer]) -> DataFrame:
+    """A row per rule from the one row that holds all their aggregates.
 
-def _unfold(one_row: DataFrame, rows: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*rows)))
+    What is known of the rules beforehand goes in as one JSON literal, what was read as one
+    array per result column: a handful of expressions per rule, however long the list.
+    """
+    about = [
+        {
+            "position": position,
+            "rule": rule.rule,
+            "column": rule.column,
+            "definition": rule.definition,
+            "metrics": list(rule.metrics),
+        }
+        for position, rule, _ in answers
+    ]
+    nothing = F.lit(None)
+
+    def gathered(name: str, sql_type: str, values: Iterable[Column | None]) -> Column:
+        given = [nothing if value is None else value for value in values]
+        return F.array(*given).cast(f"array<{sql_type}>").alias(name)
+
+    readings = [reading for _, _, reading in answers]
+    rows = F.arrays_zip(
+        F.from_json(F.lit(json.dumps(about)), _ABOUT).alias("about"),
+        gathered("element_count", "bigint", [r.elements for r in readings]),
+        gathered("unexpected_count", "bigint", [r.unexpected for r in readings]),
+        gathered("observed", "double", [r.observed for r in readings]),
+        gathered("outcome", "string", [rule.outcome(reading) for _, rule, reading in answers]),
+    )
+    return one_row.select(F.inline(rows)).select(
+        "about.*", "element_count", "unexpected_count", "observed", "outcome"
+    )
 
 
-def _schema_row(position: int, rule: SchemaRule, df: DataFrame) -> Column:
+def _schema_reading(rule: SchemaRule, df: DataFrame) -> Reading:
     lacking = rule.columns and not set(rule.columns) <= set(df.columns)
     holds, observed = (False, None) if lacking else rule.check(df.schema)
-    reading = Reading(observed=None if observed is None else F.lit(observed))
-    return _row(position, rule, reading, "pass" if holds else "fail")
+    return Reading(observed=None if observed is None else F.lit(observed), settled="pass" if holds else "fail")
 
 
 # --------------------------------------------------------------------------- passes
 
 
-def _metric_part(df: DataFrame, rules: list[tuple[int, MetricRule]], answered: list[Column]) -> DataFrame:
-    aggregates = Aggregates()
-    rows = [_row(position, rule, rule.read(aggregates, df.schema)) for position, rule in rules]
-    if not rows:
+def _metric_part(df: DataFrame, rules: list[tuple[int, MetricRule]], answered: list[Answer]) -> DataFrame:
+    aggregates, schema = Aggregates(), df.schema
+    answers = [(position, rule, rule.read(aggregates, schema)) for position, rule in rules]
+    if not answers:
         return _unfold(df.sparkSession.range(1), answered)
-    return _unfold(df.agg(*aggregates.columns()), answered + rows)
+    return _unfold(df.agg(*aggregates.columns()), answered + answers)
 
 
 def _key_parts(df: DataFrame, rules: list[tuple[int, GroupRule]]) -> list[DataFrame]:
@@ -217,10 +238,10 @@ def _key_parts(df: DataFrame, rules: list[tuple[int, GroupRule]]) -> list[DataFr
 def _key_part(df: DataFrame, rules: list[tuple[int, GroupRule]]) -> DataFrame:
     counted, keys = count_per_key(df, list(dict.fromkeys(rule.columns for _, rule in rules)))
     aggregates = Aggregates()
-    rows = [
-        _row(position, rule, rule.read(KeyCounts(aggregates, *keys[rule.columns]))) for position, rule in rules
+    answers = [
+        (position, rule, rule.read(KeyCounts(aggregates, *keys[rule.columns]))) for position, rule in rules
     ]
-    return _unfold(counted.agg(*aggregates.columns()), rows)
+    return _unfold(counted.agg(*aggregates.columns()), answers)
 
 
 def count_per_key(
@@ -256,7 +277,7 @@ def _reference_part(
     """
     parent = tables.get(rule.parent)
     if parent is None or rule.parent_column not in parent.columns:
-        return _unfold(df.sparkSession.range(1), [_row(position, rule, Reading(), "fail")])
+        return _unfold(df.sparkSession.range(1), [(position, rule, FAILED)])
     child_key, parent_key = F.col(rule.columns[0]), F.col(rule.parent_column)
     types = {df.schema[rule.columns[0]].dataType, parent.schema[rule.parent_column].dataType}
     if len(types) > 1 and StringType() in types:  # text and numbers meet as text
@@ -270,7 +291,7 @@ def _reference_part(
         F.coalesce(F.sum(F.when(orphaned, F.col("n"))), F.lit(0)).alias("orphans"),
     )
     reading = Reading(F.col("rows"), F.col("orphans"), None, F.col("orphans") == 0)
-    return _unfold(seen, [_row(position, rule, reading)])
+    return _unfold(seen, [(position, rule, reading)])
 
 
 @contextmanager
@@ -324,5 +345,5 @@ def _sql_parts(
         else:
             seen = found.agg(F.max(F.col(found.columns[0])).cast("double").alias("value"))
             reading = Reading(observed=F.col("value"))
-        parts.append(_unfold(seen, [_row(position, rule, reading)]))
+        parts.append(_unfold(seen, [(position, rule, reading)]))
     return parts

@@ -41,12 +41,16 @@ URI = r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^\s]+$"
 
 @dataclass(frozen=True)
 class Reading:
-    """What a rule saw, as expressions over the one row its pass produced."""
+    """What a rule saw, as expressions over the one row its pass produced.
+
+    ``settled`` is the outcome where no data was needed to know it.
+    """
 
     elements: Column | None = None
     unexpected: Column | None = None
     observed: Column | None = None
     passed: Column | None = None
+    settled: str | None = None
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -65,6 +69,8 @@ class Rule:
 
     def outcome(self, reading: Reading) -> Column:
         """fail beats warn beats pass; the two levels are independent of each other."""
+        if reading.settled:
+            return F.lit(reading.settled)
         failed = [~reading.passed] if reading.passed is not None else []
         if self.fail:
             failed.append(any_holds(self.fail, reading.observed))
@@ -167,12 +173,16 @@ class Aggregates:
     """The aggregates a pass computes; one that several rules ask for is computed once."""
 
     def __init__(self) -> None:
-        self.expressions: dict[str, Column] = {}
+        self._aliased: list[Column] = []
+        self._results: dict[str, Column] = {}
 
     def get(self, name: str, expression: Callable[[], Column]) -> Column:
-        if name not in self.expressions:
-            self.expressions[name] = expression()
-        return F.col(f"`{name}`")
+        """The result of the aggregate of this name, which is built when first asked for."""
+        if name not in self._results:
+            alias = f"a{len(self._aliased)}"
+            self._aliased.append(expression().alias(alias))
+            self._results[name] = F.col(alias)
+        return self._results[name]
 
     def rows(self) -> Column:
         return self.get("rows", lambda: F.count(F.lit(1)))
@@ -184,7 +194,7 @@ class Aggregates:
         return self.count(f"nulls of {column}", F.col(column).isNull())
 
     def columns(self) -> list[Column]:
-        return [expression.alias(name) for name, expression in self.expressions.items()]
+        return self._aliased
 
 
 def _percent(part: Column, whole: Column) -> Column:

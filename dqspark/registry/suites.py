@@ -96,11 +96,15 @@ def scan_obt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate(_ready(obt_sales(spark, sf_dir), rs.OBT_SCAN), rs.OBT_SCAN).select(*OUTCOME_COLUMNS)
 
 
-def scan_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All checks of the dimension folder in one frame."""
-    tables = warehouse_tables(spark, sf_dir)
-    ready = {name: _ready(tables[name], rules) for name, rules in rs.DIM_SCANS.items()}
-    return evaluate_all(ready, rs.DIM_SCANS, "scan_").select("context", *OUTCOME_COLUMNS)
+def _scan_folder(folder: dict[str, list]) -> Callable[[SparkSession, str], DataFrame]:
+    """All checks of a folder in one frame."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = warehouse_tables(spark, sf_dir)
+        ready = {name: _ready(tables[name], rules) for name, rules in folder.items()}
+        return evaluate_all(ready, folder, "scan_").select("context", *OUTCOME_COLUMNS)
+
+    return query
 
 
 def _suite(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -533,7 +537,8 @@ FULL_CHECKS = {
 QUERIES = {
     "suite_obt": suite_obt,
     "scan_obt": scan_obt,
-    "scan_dims": scan_dims,
+    "scan_dims": _scan_folder(rs.DIM_SCANS),
+    "scan_facts": _scan_folder(rs.FACT_SCANS),
     "suite_summary": suite_summary,
     "suite_from_json": suite_from_json,
     "results_suite": results_suite,
@@ -558,6 +563,10 @@ ORACLES = {
         list(DIM_SCAN_CHECKS),
         "\nUNION ALL ".join(sql.all_of(t, checks, f"scan_{t}") for t, checks in DIM_SCAN_CHECKS.items()),
     ),
+    "scan_facts": sql.with_tables(
+        list(FACT_SCAN_CHECKS),
+        "\nUNION ALL ".join(sql.all_of(t, checks, f"scan_{t}") for t, checks in FACT_SCAN_CHECKS.items()),
+    ),
 }
 
 for _dialect, (_rules, _checks) in _DIALECTS.items():

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dqspark.operators.evaluate import union_results
-from dqspark.operators.violations import orphans, violations_below, violations_between, violations_null
 from dqspark.functions.clean import is_blank
-from dqspark.operators.evaluate import failing_rows
+from dqspark.operators.evaluate import failing_rows, union_results
 from dqspark.operators.rules import unique
+from dqspark.operators.violations import orphans, violations_below, violations_between, violations_null
 from dqspark.plans import warehouse as w
 from dqspark.plans.rulesets import OBT_SCAN
 from dqspark.registry import sql
@@ -23,6 +22,7 @@ from dqspark.sources.writers import (
     ensure_table,
     insert_overwrite,
     materialize,
+    read_snapshot,
     upsert,
     write_csv,
 )
@@ -104,10 +104,10 @@ def load_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with odd keys are the table; all orders, with a changed price, arrive as the source."""
+    """Finished orders are the table; all orders, with a changed price, arrive as the source."""
     orders = given(spark, sf_dir, "orders")
     path = scratch_path(spark, "orders")
-    upsert(orders.filter("o_orderkey % 2 = 1"), path, ["o_orderkey"])
+    upsert(orders.filter("o_orderstatus = 'F'"), path, ["o_orderkey"])
     return upsert(orders.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, ["o_orderkey"])
 
 
@@ -118,8 +118,8 @@ def upsert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path, keys = scratch_path(spark, "lines"), ["l_orderkey", "l_linenumber"]
     dearest = [F.desc("l_extendedprice")]
-    upsert(lines.filter("l_orderkey % 3 = 0").withColumn("l_quantity", F.lit(0.0)), path, keys, dearest)
-    return upsert(lines.filter("l_orderkey % 2 = 0"), path, keys, dearest)
+    upsert(lines.filter("l_quantity >= 25").withColumn("l_quantity", F.lit(0.0)), path, keys, dearest)
+    return upsert(lines.filter("l_quantity <= 30"), path, keys, dearest)
 
 
 def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,6 +162,14 @@ def warehouse_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.select("context", *OUTCOME_COLUMNS)
 
 
+def refreshed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per user and category as a table: a refresh with rated sales, then one with all."""
+    out, raw = scratch_path(spark, "warehouse"), raw_sales(spark, sf_dir)
+    w.refresh(spark, raw.filter("rating <> '|'"), out, last_review())
+    w.refresh(spark, raw, out, last_review())
+    return read_snapshot(spark, f"{out}/fact_sales_category")
+
+
 def obt_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One big table as a written table, then its scan."""
     out = scratch_path(spark, "obt")
@@ -197,8 +205,8 @@ def sales_without_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphans_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of customers with odd keys, those with even keys being all that is known."""
-    customers = given(spark, sf_dir, "customer").filter("c_custkey % 2 = 0")
+    """Orders of customers in debt, when only the others are known."""
+    customers = given(spark, sf_dir, "customer").filter("c_acctbal >= 0")
     return orphans(given(spark, sf_dir, "orders"), "o_custkey", customers, "c_custkey")
 
 
@@ -230,15 +238,17 @@ QUERIES = {
         results_catalog,
         warehouse_refresh,
         obt_refresh,
-        null_users,
-        negative_balances,
-        ratings_out_of_range,
+        refreshed_sales,
         blank_names,
         sales_outliers,
         sales_without_category,
         orphans_orders,
         duplicated_reviews,
     )
+} | {
+    "violations_null": null_users,
+    "violations_below": negative_balances,
+    "violations_between": ratings_out_of_range,
 }
 
 # The tables a refresh builds: everything comes from the staged row of each product.
@@ -288,9 +298,9 @@ UNION ALL SELECT 'part', count(*), 6 FROM part
 UNION ALL SELECT 'lineitem', count(*), 11 FROM lineitem""",
     "upsert_orders": "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders",
     "upsert_lines": """WITH lines AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice FROM lineitem),
-target AS (SELECT * REPLACE (CAST(0 AS DOUBLE) AS l_quantity) FROM lines WHERE l_orderkey % 3 = 0
+target AS (SELECT * REPLACE (CAST(0 AS DOUBLE) AS l_quantity) FROM lines WHERE l_quantity >= 25
  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice DESC, l_partkey) = 1),
-source AS (SELECT * FROM lines WHERE l_orderkey % 2 = 0
+source AS (SELECT * FROM lines WHERE l_quantity <= 30
  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice DESC, l_partkey, l_quantity) = 1)
 SELECT * FROM source UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s
  WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)""",
@@ -302,12 +312,13 @@ SELECT * FROM source UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1
     + _REFRESHED
     + "\n"
     + "\nUNION ALL ".join(sql.all_of(name, checks, name) for name, checks in RULESET_CHECKS.items()),
+    "refreshed_sales": f"WITH {_REFRESHED}\nSELECT * FROM fact_sales_category",
     "obt_refresh": sql.with_tables("obt_sales", sql.all_of("obt_sales", OBT_SCAN_CHECKS)),
-    "null_users": sql.with_tables(
+    "violations_null": sql.with_tables(
         "raw_sales", "SELECT user_id, review_id, product_id FROM raw_sales WHERE user_name IS NULL"
     ),
-    "negative_balances": "SELECT * FROM customer WHERE c_acctbal < 0",
-    "ratings_out_of_range": sql.with_tables(
+    "violations_below": "SELECT * FROM customer WHERE c_acctbal < 0",
+    "violations_between": sql.with_tables(
         "fact_product_rating",
         "SELECT *, avg_rating AS invalid_value FROM fact_product_rating WHERE avg_rating < 2.2 OR avg_rating > 2.8",
     ),
@@ -322,7 +333,7 @@ SELECT * FROM source UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1
         "SELECT * FROM fact_sales_category WHERE category IS NULL AND sales_amount IS NOT NULL",
     ),
     "orphans_orders": """SELECT * FROM orders o WHERE NOT EXISTS
- (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_custkey % 2 = 0)""",
+ (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal >= 0)""",
     "duplicated_reviews": sql.with_tables(
         "raw_sales",
         "SELECT review_id, product_id, user_id, actual_price FROM raw_sales "

@@ -9,6 +9,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dqspark.sources.files import remove_folder
+
+
+_local_folders: dict[str, str] = {}
+_made: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
@@ -21,14 +27,23 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="dqspark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="dqspark-")
+    return _local_folders[application]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; no two calls return the same one."""
-    return f"{shared_dir(spark)}/dqspark/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/dqspark/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this process wrote to scratch paths, once no result is read from there."""
+    while _made:
+        remove_folder(spark, _made.pop())
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dqspark.operators.dedup import dedup
 from dqspark.operators.violations import duplicated_rows, orphans
-from dqspark.session import scratch_path, shared_dir
+from dqspark.session import clear_scratch, scratch_path, shared_dir, stored
 from dqspark.sources.readers import (
     jdbc_options,
     load_tables,
@@ -157,6 +157,31 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+def test_scratch_without_a_setting(spark, monkeypatch):
+    class Session:
+        """A session of which only these two parts are asked."""
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master, applicationId = "local[2]", "app-1"
+
+    assert shared_dir(Session) == shared_dir(Session)
+    monkeypatch.setattr(Session.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(ValueError):
+        shared_dir(Session)
+
+
+def test_scratch_can_be_cleared(spark):
+    df = stored(table(spark, (1, "a")), "x")
+    (path,) = {f.rsplit("/", 1)[0].removeprefix("file:") for f in df.inputFiles()}
+    path = path.removeprefix("//")
+    assert os.path.exists(path)
+    clear_scratch(spark)
+    assert not os.path.exists(path)
+
+
 def test_dedup_without_order_is_still_determined(spark):
     df = table(spark, (1, "b"), (1, "a"), (2, None), (2, "c"))
     assert sorted(map(str, dedup(df, ["k"]).collect())) == ["Row(k=1, v='a')", "Row(k=2, v=None)"]
