@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqspark.functions.clean import is_blank
 from dqspark.operators.evaluate import failing_rows, union_results
-from dqspark.operators.rules import unique
+from dqspark.operators.rules import between, matches, references, unique
 from dqspark.operators.violations import orphans, violations_below, violations_between, violations_null
 from dqspark.plans import warehouse as w
-from dqspark.plans.rulesets import OBT_SCAN
+from dqspark.plans.rulesets import MODEL_TESTS, OBT_SCAN
 from dqspark.registry import sql
 from dqspark.registry.results import OUTCOME_COLUMNS
-from dqspark.registry.suites import OBT_SCAN_CHECKS, RULESET_CHECKS
+from dqspark.registry.suites import OBT_SCAN_CHECKS, RULESET_CHECKS, TEST_CHECKS
 from dqspark.session import scratch_path
 from dqspark.sources.readers import load_tables, read_catalog, read_csv, register, register_results
 from dqspark.sources.sales import given, raw_sales, scan_rows
@@ -129,7 +129,7 @@ def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_namespace(spark, namespace, path)
     products, name = dim_product(spark, sf_dir), f"{namespace}.dim_product"
     ensure_table(products, name)
-    insert_overwrite(products.limit(0), name)
+    insert_overwrite(products.filter("category IS NULL"), name)
     insert_overwrite(products.select(*reversed(products.columns)), name)
     return read_catalog(spark, name)
 
@@ -144,6 +144,16 @@ def materialized_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(users, f"{namespace}.dim_user")
 
 
+def built_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A model written as a table and then tested; a failing test does not stop the others."""
+    path = scratch_path(spark, "models")
+    namespace = "dq_" + path.rsplit("-", 1)[-1]
+    ensure_namespace(spark, namespace, path)
+    return w.build(dim_user(spark, sf_dir), f"{namespace}.dim_user", MODEL_TESTS["dim_user"]).select(
+        *OUTCOME_COLUMNS
+    )
+
+
 def results_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result rows appended in two runs below one folder, found there and registered as tables."""
     path = scratch_path(spark, "results")
@@ -216,6 +226,24 @@ def duplicated_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failing_rows(sales, unique("review_id"))
 
 
+def failing_between(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that break a range, each with its value."""
+    return failing_rows(given(spark, sf_dir, "lineitem"), between("l_discount", 0.02, 0.08))
+
+
+def failing_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = raw_sales(spark, sf_dir).select("review_id", "img_link")
+    return failing_rows(sales, matches("img_link", r"\.(jpg|jpeg|png|gif)$"))
+
+
+def failing_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of customers that caused no event."""
+    events = given(spark, sf_dir, "events")
+    return failing_rows(
+        given(spark, sf_dir, "orders"), references("o_custkey", "events", "user_id"), {"events": events}
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -235,6 +263,7 @@ QUERIES = {
         upsert_lines,
         catalog_overwrite,
         materialized_users,
+        built_users,
         results_catalog,
         warehouse_refresh,
         obt_refresh,
@@ -244,6 +273,9 @@ QUERIES = {
         sales_without_category,
         orphans_orders,
         duplicated_reviews,
+        failing_between,
+        failing_matches,
+        failing_references,
     )
 } | {
     "violations_null": null_users,
@@ -306,6 +338,14 @@ SELECT * FROM source UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1
  WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)""",
     "catalog_overwrite": sql.with_tables("dim_product", "SELECT * FROM dim_product"),
     "materialized_users": sql.with_tables("dim_user", "SELECT * FROM dim_user"),
+    "built_users": sql.with_tables("dim_user", sql.all_of("dim_user", TEST_CHECKS["dim_user"])),
+    "failing_between": """SELECT *, l_discount AS invalid_value FROM lineitem
+WHERE l_discount < CAST(0.02 AS DOUBLE) OR l_discount > CAST(0.08 AS DOUBLE)""",
+    "failing_matches": sql.with_tables(
+        "raw_sales",
+        r"SELECT review_id, img_link FROM raw_sales WHERE NOT regexp_matches(img_link, '\.(jpg|jpeg|png|gif)$')",
+    ),
+    "failing_references": "SELECT * FROM orders WHERE o_custkey NOT IN (SELECT user_id FROM events)",
     "results_catalog": """SELECT CASE event_type WHEN 'error' THEN 'fail' WHEN 'signup' THEN 'warn' ELSE 'pass' END AS outcome,
  't' || CAST(user_id % 5 AS VARCHAR) AS "table", count(*) AS n FROM events GROUP BY 1, 2""",
     "warehouse_refresh": "WITH "

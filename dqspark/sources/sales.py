@@ -10,13 +10,13 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when it has fewer partitions than there are cores.
+    """Deal the rows of a scan out to all cores when it would leave more than half of them idle.
 
     A small file with one row group is otherwise the work of one task. A table large enough to
-    keep the cluster busy has more partitions than cores and is left as it is.
+    keep the cluster busy is left as it is: no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
 
 
 def _every(column: str, n: int):
