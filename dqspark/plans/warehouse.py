@@ -128,16 +128,15 @@ def fact_product_rating(stg: DataFrame, products: DataFrame, ratings: DataFrame)
 
     Joining the three tables on the product and averaging would repeat every rating once per
     sale, the square of a hot product's rows, without changing the average. Here ratings shrink
-    to one row per product and sales to the set of product ids before anything is joined.
+    to one row per product and sales to the set of product ids; these two meet where they were
+    grouped, and only then are the names of the products joined.
     """
     average = ratings.groupBy("product_id").agg(_average(ratings, "rating").alias("avg_rating"))
     sold = stg.select("product_id").distinct()
-    return (
-        products.select("product_id", "product_name")
-        .distinct()
-        .join(average, "product_id")
-        .join(sold, "product_id", "left_semi")
-        .select("product_id", "product_name", "avg_rating")
+    rated = average.join(sold, "product_id", "left_semi").withColumnRenamed("product_id", "rated_id")
+    names = products.select("product_id", "product_name").distinct()
+    return join_reduced(names, rated, "product_id", "rated_id").select(
+        "product_id", "product_name", "avg_rating"
     )
 
 

@@ -47,7 +47,11 @@ def test_metric_rules_share_one_scan_of_their_columns(spark, sf_dir):
 
 
 def test_key_rules_share_one_scan_and_count_before_the_shuffle(spark, sf_dir):
-    rules = [r.unique("l_orderkey"), r.compound_unique(["l_orderkey", "l_linenumber"]), r.distinct_between("l_partkey", 1, 9)]
+    rules = [
+        r.unique("l_orderkey"),
+        r.compound_unique(["l_orderkey", "l_linenumber"]),
+        r.distinct_between("l_partkey", 1, 9),
+    ]
     text = plan(evaluate(given(spark, sf_dir, "lineitem"), rules))
     assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 1
     assert "partial_count" in text and "Join" not in text
@@ -125,6 +129,15 @@ def test_hot_products_are_split(spark, hot, large):
     assert "skew=true" in plan(fact) and "BroadcastHashJoin" not in plan(fact)
 
 
+def test_hot_names_are_split(spark, hot, large):
+    """A product with very many names."""
+    products = hot.select("product_id", F.col("user_id").alias("product_name"))
+    ratings = hot.select("product_id", F.lit("4.5").alias("rating"))
+    fact = w.fact_product_rating(hot, products, ratings)
+    assert len(fact.collect()) == 300000
+    assert "skew=true" in plan(fact)
+
+
 def test_hot_orphans_are_split(spark, hot, large):
     parents = hot.filter("product_id <> 'P0'").select("product_id")
     found = orphans(hot, "product_id", parents, "product_id")
