@@ -101,6 +101,15 @@ class Contract:
         )
 
 
+def contract_from_draft(draft: DataFrame) -> Contract:
+    """The contract that ``contract_from_tables`` drafted; a row per field comes to the driver."""
+    models: dict[str, dict[str, Field]] = {}
+    for row in sorted(draft.collect(), key=lambda row: (row["model"], row["position"])):
+        fields = models.setdefault(row["model"], {})
+        fields[row["field"]] = Field(row["type"], required=row["required"], unique=row["unique"])
+    return Contract({name: Model(fields) for name, fields in models.items()})
+
+
 def _model(spec: Mapping[str, Any]) -> Model:
     fields = {
         name: Field(

@@ -58,7 +58,7 @@ def evaluate(
     """
     present = set(df.columns)
     numbered = list(enumerate(rules, start=1))
-    answered, metric, keyed, parts = [], [], [], []
+    answered, metric, keyed, referring, parts = [], [], [], [], []
     for position, rule in numbered:
         if not isinstance(rule, SchemaRule) and not present.issuperset(rule.columns):
             answered.append((position, rule, FAILED))
@@ -69,10 +69,10 @@ def evaluate(
         elif isinstance(rule, GroupRule):
             keyed.append((position, rule))
         elif isinstance(rule, ReferenceRule):
-            parts.append(_reference_part(position, rule, df, tables or {}))
+            referring.append((position, rule))
     if metric or answered:
         parts.append(_metric_part(df, metric, answered))
-    parts += _key_parts(df, keyed)
+    parts += _key_parts(df, keyed) + _reference_parts(df, referring, tables or {})
     parts += _sql_parts(df, [(p, r) for p, r in numbered if isinstance(r, SqlRule)], name, tables or {})
     if not parts:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
@@ -83,7 +83,8 @@ def passes(rules: Sequence[Rule]) -> int:
     """How often ``evaluate`` reads the table. Above one, store a table that is costly to derive."""
     kinds = [type(rule) for rule in rules]
     shared = sum(kind in kinds for kind in (MetricRule, GroupRule))
-    return shared + kinds.count(ReferenceRule) + kinds.count(SqlRule)
+    referring = {rule.columns for rule in rules if isinstance(rule, ReferenceRule)}
+    return shared + len(referring) + kinds.count(SqlRule)
 
 
 def evaluate_all(
@@ -267,31 +268,56 @@ def count_per_key(
     return counted, {s: (names[s], number[s]) for s in sets}
 
 
+def _reference_parts(
+    df: DataFrame, rules: list[tuple[int, ReferenceRule]], tables: Mapping[str, DataFrame]
+) -> list[DataFrame]:
+    """One pass for each column that refers to other tables, however many parents it has."""
+    parts = []
+    for column in dict.fromkeys(rule.columns[0] for _, rule in rules):
+        mine = [(position, rule) for position, rule in rules if rule.columns[0] == column]
+        known = [a for a in mine if a[1].parent_column in getattr(tables.get(a[1].parent), "columns", ())]
+        lost = [(position, rule, FAILED) for position, rule in mine if (position, rule) not in known]
+        if known:
+            parts.append(_reference_part(df, column, known, tables))
+        if lost:
+            parts.append(_unfold(df.sparkSession.range(1), lost))
+    return parts
+
+
 def _reference_part(
-    position: int, rule: ReferenceRule, df: DataFrame, tables: Mapping[str, DataFrame]
+    df: DataFrame, column: str, rules: list[tuple[int, ReferenceRule]], tables: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Orphans by one grouping of both key columns together.
+    """Orphans by one grouping of the child's and all parents' keys together.
 
     No join: child counts and parent marks are combined on the map side, so neither a hot
     foreign key nor a large parent makes a large task.
     """
-    parent = tables.get(rule.parent)
-    if parent is None or rule.parent_column not in parent.columns:
-        return _unfold(df.sparkSession.range(1), [(position, rule, FAILED)])
-    child_key, parent_key = F.col(rule.columns[0]), F.col(rule.parent_column)
-    types = {df.schema[rule.columns[0]].dataType, parent.schema[rule.parent_column].dataType}
-    if len(types) > 1 and StringType() in types:  # text and numbers meet as text
-        child_key, parent_key = child_key.cast("string"), parent_key.cast("string")
-    child_keys = df.select(child_key.alias("k"), F.lit(1).alias("child"), F.lit(0).alias("parent"))
-    parent_keys = parent.select(parent_key.alias("k"), F.lit(0), F.lit(1))
-    keys = child_keys.union(parent_keys).groupBy("k").agg(F.sum("child").alias("n"), F.max("parent").alias("known"))
-    orphaned = F.col("k").isNotNull() & (F.col("known") == 0)
-    seen = keys.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(orphaned, F.col("n"))), F.lit(0)).alias("orphans"),
-    )
-    reading = Reading(F.col("rows"), F.col("orphans"), None, F.col("orphans") == 0)
-    return _unfold(seen, [(position, rule, reading)])
+    sides = [(df, column)] + [(tables[rule.parent], rule.parent_column) for _, rule in rules]
+    types = {side.schema[key].dataType for side, key in sides}
+    as_text = len(types) > 1 and StringType() in types  # text and numbers meet as text
+
+    def keys(i: int) -> DataFrame:
+        side, key = sides[i]
+        value = F.col(key).cast("string") if as_text else F.col(key)
+        return side.select(value.alias("k"), *[F.lit(int(i == j)).alias(f"in{j}") for j in range(len(sides))])
+
+    together = reduce(DataFrame.union, [keys(i) for i in range(len(sides))])
+    marks = [F.max(f"in{j}").alias(f"in{j}") for j in range(1, len(sides))]
+    counted = together.groupBy("k").agg(F.sum("in0").alias("n"), *marks)
+
+    def total(amount: Column) -> Column:
+        return F.coalesce(F.sum(amount), F.lit(0))
+
+    orphaned = [
+        total(F.when(F.col("k").isNotNull() & (F.col(f"in{j}") == 0), F.col("n"))).alias(f"orphans{j}")
+        for j in range(1, len(sides))
+    ]
+    seen = counted.agg(total(F.col("n")).alias("rows"), *orphaned)
+    answers = []
+    for j, (position, rule) in enumerate(rules, start=1):
+        orphans = F.col(f"orphans{j}")
+        answers.append((position, rule, Reading(F.col("rows"), orphans, None, orphans == 0)))
+    return _unfold(seen, answers)
 
 
 @contextmanager

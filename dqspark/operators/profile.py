@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from dqspark.operators import rules as r
 from dqspark.operators.evaluate import count_per_key
+from dqspark.operators.results import EXPECTATIONS
 
 
 
@@ -78,21 +78,28 @@ def distinct_counts(df: DataFrame, batch: int = 16) -> DataFrame:
     return parts
 
 
-def suite_from_profile(profiled: DataFrame) -> list[r.Rule]:
-    """Rules the profiled table fulfils. Only the profile, a row per column, comes to the driver."""
-    rules: list[r.Rule] = []
+def suite_from_profile(profiled: DataFrame) -> dict:
+    """A suite, in its dictionary form, that the profiled table fulfils.
+
+    Only the profile, a row per column, comes to the driver.
+    """
+    expectations = []
+
+    def expect(rule: str, **kwargs) -> None:
+        expectations.append({"expectation_type": EXPECTATIONS[rule], "kwargs": kwargs})
+
     for row in sorted(profiled.collect(), key=lambda row: row["position"]):
         column, given = row["column"], row["count"] - row["nulls"]
-        rules.append(r.column_exists(column))
+        expect("column_exists", column=column)
         if row["count"] and not row["nulls"]:
-            rules.append(r.not_null(column))
+            expect("not_null", column=column)
         if given and row["distinct"] == given:
-            rules.append(r.unique(column))
+            expect("unique", column=column)
         if row["min"] is not None:
-            rules.append(r.between(column, row["min"], row["max"]))
+            expect("between", column=column, min_value=row["min"], max_value=row["max"])
         if row["min_length"] is not None:
-            rules.append(r.length_between(column, row["min_length"], row["max_length"]))
-    return rules
+            expect("length_between", column=column, min_value=row["min_length"], max_value=row["max_length"])
+    return {"expectations": expectations}
 
 
 def contract_from_tables(tables: dict[str, DataFrame]) -> DataFrame:

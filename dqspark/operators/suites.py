@@ -1,16 +1,29 @@
-"""Rule lists from dictionaries, as read from JSON."""
+"""Rule lists from dictionaries, which are kept as JSON files."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from typing import Any
 
+from pyspark.sql import SparkSession
+
 from dqspark.operators import rules as r
 from dqspark.operators.results import EXPECTATIONS
 
 _RULE_OF = {expectation: rule for rule, expectation in EXPECTATIONS.items()}
 
 
+def save_suite(spark: SparkSession, suite: Mapping[str, Any], path: str) -> None:
+    """Keep a suite as JSON, on whatever file system the path names."""
+    spark.createDataFrame([(json.dumps(suite),)], "value string").write.mode("overwrite").text(path)
+
+
+def load_suite(spark: SparkSession, path: str) -> dict[str, Any]:
+    """A suite from a JSON file or from where ``save_suite`` put it."""
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
+
+
 def rules_from_suite(suite: Mapping[str, Any]) -> list[r.Rule]:
     """``{"expectations": [{"expectation_type": ..., "kwargs": {...}}, ...]}`` -> rules."""
     return [rule_from_expectation(e["expectation_type"], e.get("kwargs", {})) for e in suite["expectations"]]

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from dqspark.operators.contract import contract_from_draft, test_contract
 from dqspark.operators.evaluate import evaluate
 from dqspark.operators.profile import contract_from_tables, profile, suite_from_profile
+from dqspark.operators.suites import load_suite, rules_from_suite, save_suite
 from dqspark.registry import sql
+from dqspark.session import scratch_path
 from dqspark.sources.sales import given, raw_sales
 
 _SHOWN = ("position", "column", "type", "count", "nulls", "distinct", "min", "max", "min_length", "max_length")
@@ -32,9 +35,10 @@ def profile_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suite_from_part(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules derived from a profile, run on the table they came from: all of them hold."""
-    part = given(spark, sf_dir, "part")
-    return evaluate(part, suite_from_profile(profile(part, quantiles=()))).select(
+    """A suite derived from a profile, kept as JSON, run on the table it came from: it holds."""
+    part, path = given(spark, sf_dir, "part"), scratch_path(spark, "suite")
+    save_suite(spark, suite_from_profile(profile(part, quantiles=())), path)
+    return evaluate(part, rules_from_suite(load_suite(spark, path))).select(
         "rule", "column", "element_count", "unexpected_count", "outcome"
     )
 
@@ -44,8 +48,24 @@ def contract_draft(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract_from_tables({name: given(spark, sf_dir, name) for name in names})
 
 
+def contract_of_draft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drafted contract, tested on the tables it came from: it holds."""
+    tables = {name: given(spark, sf_dir, name) for name in ("part", "customer")}
+    return test_contract(tables, contract_from_draft(contract_from_tables(tables))).select(
+        "context", "rule", "column", "element_count", "unexpected_count", "outcome"
+    )
+
+
 QUERIES = {
-    f.__name__: f for f in (profile_lineitem, profile_sales, profile_quantiles, suite_from_part, contract_draft)
+    f.__name__: f
+    for f in (
+        profile_lineitem,
+        profile_sales,
+        profile_quantiles,
+        suite_from_part,
+        contract_draft,
+        contract_of_draft,
+    )
 }
 
 _LINEITEM = {
@@ -134,7 +154,24 @@ def _draft_sql() -> str:
     return "\nUNION ALL ".join(selects)
 
 
+def _draft_outcomes_sql() -> str:
+    selects = []
+    for table, types in (("part", _PART), ("customer", _CUSTOMER)):
+        n = f"(SELECT count(*) FROM {table})"
+        for c in types:
+            selects += [
+                f"SELECT '{table}' AS context, 'field_type' AS rule, '{c}' AS \"column\", "
+                "CAST(NULL AS BIGINT) AS element_count, CAST(NULL AS BIGINT) AS unexpected_count, 'pass' AS outcome",
+                f"SELECT '{table}', 'not_null', '{c}', {n}, 0, 'pass' "
+                f"WHERE (SELECT count(*) = count({c}) FROM {table})",
+                f"SELECT '{table}', 'unique', '{c}', {n}, 0, 'pass' "
+                f"WHERE (SELECT count({c}) = count(DISTINCT {c}) FROM {table})",
+            ]
+    return "\nUNION ALL ".join(selects)
+
+
 ORACLES = {
+    "contract_of_draft": _draft_outcomes_sql(),
     "profile_lineitem": _profile_sql("lineitem", _LINEITEM),
     "profile_sales": sql.with_tables("raw_sales", _profile_sql("raw_sales", _SALES)),
     "suite_from_part": _part_suite_sql(),

@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from dqspark.operators import rules as r
-from dqspark.operators.contract import Contract, test_contract as run_contract
+from dqspark.operators.contract import Contract, contract_from_draft, test_contract as run_contract
 from dqspark.operators.evaluate import evaluate, failing_rows
 from dqspark.operators.profile import contract_from_tables, profile, suite_from_profile
 from dqspark.operators.results import scan_results, suite_results
+from dqspark.operators.suites import load_suite, rules_from_suite, save_suite
 from dqspark.plans import monitor as m
 from dqspark.plans.rulesets import FULL_CONTRACT
 from dqspark.streaming import alerts as a
@@ -45,7 +46,7 @@ def test_estimated_distinct_counts_are_close(numbers):
 
 def test_profile_becomes_rules_that_hold(numbers):
     df, _ = numbers
-    rules = suite_from_profile(profile(df))
+    rules = rules_from_suite(suite_from_profile(profile(df)))
     assert {(x.rule, x.column) for x in rules} >= {("unique", "id"), ("not_null", "id"), ("between", "v")}
     assert {row["outcome"] for row in evaluate(df, rules).collect()} == {"pass"}
     worse = df.withColumn("v", F.col("v") * 2)
@@ -55,7 +56,16 @@ def test_profile_becomes_rules_that_hold(numbers):
 def test_profile_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "id int, s string")
     assert [row["count"] for row in profile(empty).collect()] == [0, 0]
-    assert [x.rule for x in suite_from_profile(profile(empty))] == ["column_exists", "column_exists"]
+    rules = rules_from_suite(suite_from_profile(profile(empty)))
+    assert [x.rule for x in rules] == ["column_exists", "column_exists"]
+
+
+def test_suite_kept_as_json(spark, numbers, tmp_path):
+    suite = suite_from_profile(profile(numbers[0]))
+    save_suite(spark, suite, str(tmp_path / "suite"))
+    assert load_suite(spark, str(tmp_path / "suite")) == suite
+    (tmp_path / "by_hand.json").write_text(json.dumps(suite, indent=2))
+    assert load_suite(spark, str(tmp_path / "by_hand.json")) == suite
 
 
 def test_contract_draft(numbers):
@@ -64,6 +74,15 @@ def test_contract_draft(numbers):
     assert (found["s"]["required"], found["s"]["unique"]) == (False, False)
 
 
+def test_drafted_contract_holds_until_the_table_changes(numbers):
+    df, _ = numbers
+    contract = contract_from_draft(contract_from_tables({"t": df}))
+    assert {x["outcome"] for x in run_contract({"t": df}, contract).collect()} == {"pass"}
+    worse = df.union(df.limit(1)).withColumn("v", F.col("v").cast("float"))
+    broken = {(x["rule"], x["column"]) for x in run_contract({"t": worse}, contract).filter("outcome = 'fail'").collect()}
+    assert broken >= {("unique", "id"), ("field_type", "v")}
+
+
 def test_contract_rules(spark):
     contract = Contract.from_dict(
         {

@@ -133,6 +133,15 @@ def test_references(spark, table):
     assert failing_rows(table, r.references("id", "p", "key"), tables).count() == 2
 
 
+def test_references_of_one_column_share_a_pass(spark, table):
+    tables = {n: spark.createDataFrame([(k,)], "key string") for n, k in (("p", "a"), ("q", "b"))}
+    rules = [r.references("id", "p", "key"), r.references("id", "q", "key"), r.references("id", "none", "key")]
+    results = evaluate(table, rules, tables=tables)
+    found = {x["position"]: (x["element_count"], x["unexpected_count"], x["outcome"]) for x in results.collect()}
+    assert found == {1: (4, 2, "fail"), 2: (4, 1, "fail"), 3: (None, None, "fail")}
+    assert passes(rules) == 1
+
+
 def test_references_between_text_and_numbers(spark):
     child = spark.createDataFrame([("1",), ("2",), ("x",)], "k string")
     parent = spark.createDataFrame([(1,), (2,)], "k int")
