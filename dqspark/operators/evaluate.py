@@ -162,7 +162,7 @@ def raise_if_failed(results: DataFrame) -> DataFrame:
     failed = [f"{r['rule']}({r['column'] or ''})" for r in rows if r["outcome"] == "fail"]
     if failed:
         raise CheckFailed(", ".join(failed))
-    return results.sparkSession.createDataFrame(rows, results.schema)
+    return results.sparkSession.createDataFrame(rows, results.schema).coalesce(1)
 
 
 # --------------------------------------------------------------------------- rows

@@ -200,7 +200,7 @@ def refresh(
 
     def check(tables: Mapping[str, DataFrame], rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame:
         outcomes = evaluate_all(tables, rulesets).collect()  # one row per rule
-        results = spark.createDataFrame(outcomes, _RESULTS)
+        results = spark.createDataFrame(outcomes, _RESULTS).coalesce(1)
         append_results(results, f"{out}/dq_results", "context")
         return raise_if_failed(results) if raise_on_fail else results
 

@@ -14,7 +14,14 @@ from dqspark.registry import sql
 from dqspark.registry.results import OUTCOME_COLUMNS
 from dqspark.registry.suites import OBT_SCAN_CHECKS, RULESET_CHECKS, TEST_CHECKS
 from dqspark.session import scratch_path
-from dqspark.sources.readers import load_tables, read_catalog, read_csv, register, register_results
+from dqspark.sources.readers import (
+    load_tables,
+    read_catalog,
+    read_csv,
+    read_table,
+    register,
+    register_results,
+)
 from dqspark.sources.sales import given, raw_sales, scan_rows
 from dqspark.sources.writers import (
     append_results,
@@ -22,7 +29,6 @@ from dqspark.sources.writers import (
     ensure_table,
     insert_overwrite,
     materialize,
-    read_snapshot,
     upsert,
     write_csv,
 )
@@ -177,7 +183,7 @@ def refreshed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, raw = scratch_path(spark, "warehouse"), raw_sales(spark, sf_dir)
     w.refresh(spark, raw.filter("category = 'STANDARD'"), out, last_review())
     w.refresh(spark, raw, out, last_review())
-    return read_snapshot(spark, f"{out}/fact_sales_category")
+    return read_table(spark, f"{out}/fact_sales_category", "snapshot")
 
 
 def obt_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from dqspark.sources.files import child_folders
+from dqspark.sources.snapshots import read_snapshot
 
 
 def read_csv(
@@ -22,7 +23,8 @@ def read_csv(
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """A table folder: of any format Spark reads, or ``snapshot`` for tables that are upserted."""
+    return read_snapshot(spark, path) if fmt == "snapshot" else spark.read.format(fmt).load(path)
 
 
 def read_catalog(spark: SparkSession, name: str) -> DataFrame:

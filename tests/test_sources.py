@@ -15,16 +15,14 @@ from dqspark.sources.readers import (
     register,
     register_results,
 )
+from dqspark.sources.snapshots import read_snapshot, snapshots, write_snapshot
 from dqspark.sources.writers import (
     append_results,
     ensure_namespace,
     ensure_table,
     insert_overwrite,
     materialize,
-    read_snapshot,
-    snapshots,
     upsert,
-    write_snapshot,
 )
 
 

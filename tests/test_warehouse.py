@@ -5,10 +5,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from dqspark.operators.evaluate import CheckFailed, evaluate
+from dqspark.operators.evaluate import CheckFailed, evaluate, evaluate_all
 from dqspark.operators.rules import not_null, row_count
 from dqspark.plans import warehouse as w
-from dqspark.sources.writers import append_results, read_snapshot, write_csv
+from dqspark.plans.rulesets import DIM_RULESETS, FACT_RULESETS
+from dqspark.sources.readers import load_tables
+from dqspark.sources.snapshots import read_snapshot
+from dqspark.sources.writers import append_results, write_csv
 
 RAW = list(w.SALES_TYPES)
 
@@ -103,6 +106,9 @@ def test_refresh_twice_changes_nothing(spark, sales, tmp_path):
         table = read_snapshot(spark, f"{out}/{name}")
         assert as_set(table) == before[name]
         assert table.count() == table.select(*keys).distinct().count()
+    tables = load_tables(spark, out, w.KEYS, "snapshot")
+    rulesets = DIM_RULESETS | FACT_RULESETS
+    assert as_set(evaluate_all(tables, rulesets).drop("metrics")) == as_set(second.drop("metrics"))
     stored = spark.read.parquet(f"{out}/dq_results")
     assert stored.count() == 2 * first.count()
     assert {r["context"] for r in stored.select("context").distinct().collect()} == {
