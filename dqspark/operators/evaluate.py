@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType
 
@@ -108,7 +108,8 @@ def failing_rows(df: DataFrame, rule: Rule, tables: Mapping[str, DataFrame] | No
     if isinstance(rule, ReferenceRule):
         return rule.failing_rows_in(df, (tables or {})[rule.parent])
     if isinstance(rule, SqlRule) and rule.returns_rows:
-        return _run_sql(df, [rule.query], "primary", tables or {})[0]
+        with _named(df.sparkSession, {**(tables or {}), "primary": df}):
+            return df.sparkSession.sql(rule.query)
     return rule.failing_rows(df)
 
 
@@ -347,10 +348,14 @@ def _temp_view(spark: SparkSession, name: str) -> DataFrame | None:
         return None
 
 
-def _run_sql(df: DataFrame, queries: Sequence[str], name: str, tables: Mapping[str, DataFrame]) -> list[DataFrame]:
-    spark = df.sparkSession
-    with _named(spark, {**tables, name: df, "primary": df}):
-        return [spark.sql(query) for query in queries]
+def _resolve(spark: SparkSession, query: str) -> DataFrame | None:
+    """The query's result, lazily; None if it names a column or table that is not there."""
+    try:
+        return spark.sql(query)
+    except ParseException:
+        raise
+    except AnalysisException:
+        return None
 
 
 def _sql_parts(
@@ -358,8 +363,13 @@ def _sql_parts(
 ) -> list[DataFrame]:
     if not rules:
         return []
-    parts, results = [], _run_sql(df, [rule.query for _, rule in rules], name, tables)
+    parts, spark = [], df.sparkSession
+    with _named(spark, {**tables, name: df, "primary": df}):
+        results = [_resolve(spark, rule.query) for _, rule in rules]
     for (position, rule), found in zip(rules, results):
+        if found is None:
+            parts.append(_unfold(spark.range(1), [(position, rule, FAILED)]))
+            continue
         if rule.returns_rows:
             seen = found.agg(F.count(F.lit(1)).alias("n"))
             reading = Reading(None, F.col("n"), None, F.col("n") == 0)

@@ -9,7 +9,7 @@ from pyspark.sql.types import DecimalType, StringType, StructType
 
 from dqspark.functions.clean import numeric_or_null, parse_count, parse_decimal_comma, parse_money, parse_number
 from dqspark.operators.dedup import dedup
-from dqspark.operators.evaluate import evaluate, evaluate_all, raise_if_failed
+from dqspark.operators.evaluate import RESULT_SCHEMA, evaluate, evaluate_all, raise_if_failed
 from dqspark.operators.joins import join_reduced
 from dqspark.operators.rules import Rule
 from dqspark.plans.rulesets import DIM_RULESETS, FACT_RULESETS
@@ -154,14 +154,16 @@ def fact_sales_category(stg: DataFrame, products: DataFrame, users: DataFrame) -
     categories = products.groupBy(F.col("product_id").alias("sold_id"), "category").agg(
         F.count(F.lit(1)).alias("product_rows")
     )
-    known_users = users.groupBy("user_id").agg(F.count(F.lit(1)).alias("user_rows"))
+    known = users.groupBy(F.col("user_id").alias("known_id")).agg(F.count(F.lit(1)).alias("user_rows"))
     summed = (
         join_reduced(sales, categories, "product_id", "sold_id")
         .groupBy("user_id", "category")
         .agg(F.sum((F.col("price") * F.col("product_rows")).cast("decimal(20,2)")).alias("amount"))
     )
     amount = (F.col("amount") * F.col("user_rows")).cast("decimal(20,2)")
-    return summed.join(known_users, "user_id").select("user_id", "category", amount.alias("sales_amount"))
+    return join_reduced(summed, known, "user_id", "known_id").select(
+        "user_id", "category", amount.alias("sales_amount")
+    )
 
 
 def build(
@@ -200,7 +202,7 @@ def refresh(
 
     def check(tables: Mapping[str, DataFrame], rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame:
         outcomes = evaluate_all(tables, rulesets).collect()  # one row per rule
-        results = spark.createDataFrame(outcomes, _RESULTS).coalesce(1)
+        results = spark.createDataFrame(outcomes, f"context string, {RESULT_SCHEMA}").coalesce(1)
         append_results(results, f"{out}/dq_results", "context")
         return raise_if_failed(results) if raise_on_fail else results
 
@@ -225,12 +227,6 @@ def refresh(
     return dim_outcomes.unionByName(check(tables, fact_rulesets))
 
 
-_RESULTS = (
-    "context string, position int, rule string, column string, definition string, metrics array<string>, "
-    "element_count bigint, unexpected_count bigint, observed double, outcome string"
-)
-
-
 def refresh_obt(
     spark: SparkSession,
     raw: DataFrame | str,

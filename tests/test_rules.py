@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.errors import ParseException
 from pyspark.sql import functions as F
 
 from dqspark.operators import rules as r
@@ -194,6 +195,13 @@ def test_sql_leaves_the_session_as_it_was(spark, table):
     assert results.first()["outcome"] == "pass"
 
 
+def test_sql_on_missing_columns_fails_and_stops_nothing(table):
+    rules = [r.sql_metric("m", "SELECT MAX(zip) FROM primary", must="> 0"), r.row_count()]
+    assert [x["outcome"] for x in evaluate(table, rules).orderBy("position").collect()] == ["fail", "pass"]
+    with pytest.raises(ParseException):
+        evaluate(table, [r.custom_sql("SELEC 1")])
+
+
 def test_passes():
     assert passes([r.column_exists("a")]) == 0
     assert passes([r.not_null("a"), r.row_count(), r.unique("a"), r.unique("b")]) == 2
