@@ -58,8 +58,11 @@ def profile(
     return columns.join(distinct_counts(df), "column") if exact_distinct else columns
 
 
-def distinct_counts(df: DataFrame, batch: int = 16) -> DataFrame:
-    """Exact number of distinct non-NULL values of every column."""
+def distinct_counts(df: DataFrame, batch: int = 8) -> DataFrame:
+    """Exact number of distinct non-NULL values of every column, some columns to a pass.
+
+    More columns in a pass mean fewer scans but wider rows in the grouping.
+    """
     parts = None
     for start in range(0, len(df.columns), batch):
         names = df.columns[start : start + batch]
