@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
 from dqspark.llm.common import Rows, word_count
+from dqspark.session import stored
 
 #: Blocks of a source at most, documents of a block at least, and sources whose table may be broadcast.
 BLOCKS, BLOCK_ROWS, BROADCAST = 1024, 64, 100_000
@@ -95,7 +96,7 @@ def plan(
             "cell": F.pmod(hashed, F.lit(BLOCKS)).cast("int"),
         }
     )
-    cells = frame.groupBy("source", "cell").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    cells = stored(frame.groupBy("source", "cell").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "cells")
     listed = _sources(cells, weights, share, most)
     of_source = _places(cells, listed, shards, rng)
     joined = _with(frame, of_source).withColumn("block", _block())
