@@ -35,12 +35,15 @@ def _keyed(rows: Rows, id: str, text: str) -> DataFrame:
 def _splitters(keyed: DataFrame, ranges: int, sample: int, seed: int) -> list[int]:
     """Quantiles of a size-weighted sample of keys.
 
-    The sample is of ``ranges * sample`` rows at most: those with the smallest -ln(u) / size, which draws without
-    replacement in proportion to size; u is a hash of the key, so reruns agree.
+    A key is drawn with the chance 1 - exp(-size * rate): its draw -ln(u) / size falls below a rate that makes
+    ``ranges * sample`` draws expected at most, however many tasks there are. u is a hash of the key: reruns agree.
     """
+    total = keyed.agg(F.sum("size")).first()[0]
+    if not total:
+        return []
     u = (F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 52)) + 1) / float(1 << 52)
-    drawn = keyed.select("key", (-F.log(u) / F.col("size")).alias("draw"))
-    keys = sorted(r["key"] for r in drawn.orderBy("draw", "key").limit(ranges * sample).collect())
+    drawn = keyed.filter(-F.log(u) / F.col("size") < ranges * sample / total)
+    keys = sorted(r["key"] for r in drawn.select("key").collect())
     return sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)} if keys else [])
 
 
@@ -103,7 +106,7 @@ def shard(
     ``slot`` counts the rows of a shard in that order, from 0 without gaps.
 
     No task holds more than a range: raise ``ranges`` with the input, so that one fits a task. The driver gets the
-    sample and a few numbers per range. The input is scanned four times, its columns shuffled once.
+    sample and a few numbers per range. The input is scanned five times, its columns shuffled once.
 
     A null text is an empty one; a null id is an id like others. Rows that repeat a text and an id are
     neighbours in one range and get slots of their own. No rows give no rows. Input columns with the names of
