@@ -190,16 +190,16 @@ def _fitting(rows: DataFrame) -> DataFrame:
     return taken.withColumn("more", (F.col("fits") | one).cast("int")).drop("end", "row", "fits", "missing", "nearest")
 
 
-def mix(docs: DataFrame, pieces: int = 16, seed: int = 8, **options) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 8, **options) -> DataFrame:
     """The mix: a row for each copy, with the documents' own columns and ``shard``, the output shard.
 
-    Documents of a shard are shuffled locally: dealt to ``pieces`` tasks by hash, and there put in the order of
-    another hash. See ``plan`` for the rest; rows without copies are not in the mix.
+    A shard's rows are shuffled: they stand in the order of a hash of the copy, which Spark deals out by range, so a task
+    holds a piece of a shard, however large that is. See ``plan`` for the rest; rows without copies are not in the mix.
     """
     added = ["size", "source_size", "target", "copies", "shards"]
     rows = Rows(plan(docs, seed=seed, **options))
     copies = rows.frame.select("*", F.posexplode(rows.of["shards"]).alias("copy", "shard"))
     own = [rows.of[n] for n in rows.names if n not in added]
     copies = copies.withColumn("place", F.xxhash64(F.lit(seed + 1), "copy", *own))
-    dealt = copies.repartition("shard", F.pmod("place", F.lit(pieces))).sortWithinPartitions("shard", "place")
+    dealt = copies.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place")
     return dealt.select(*[F.col(rows.of[n]).alias(n) for n in rows.names if n not in added], "shard")

@@ -14,6 +14,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from dqspark.llm.common import Rows, group_starts, mapped, meeting, merged, texts, whole_groups
 from dqspark.llm.components import components
+from dqspark.operators.joins import join_reduced
 from dqspark.session import stored
 
 #: Rows of equal masked bits that meet in one task, and children of an index node.
@@ -182,7 +183,8 @@ def _grouped(docs: Rows, id: str, text: str, shingle: int, distance: int) -> Dat
     smallest = rows.groupBy("fp").agg(F.min(docs.of[id]).alias("least"))
     ids = smallest.join(component_table(rows, distance), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = stored(ids.join(least, "root").select("fp", "root", "component_id"), "components")
+    least = least.withColumnRenamed("root", "of")
+    of_fp = stored(join_reduced(ids, least, "root", "of").select("fp", "root", "component_id"), "components")
     return rows.join(of_fp, "fp")
 
 
