@@ -9,14 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+_NUMBER = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
+
+
 def parse_decimal_comma(col: Column, precision: int = 3, scale: int = 2) -> Column:
     """``"4,2"`` -> 4.20; anything that is no number, or does not fit, -> NULL."""
     return F.replace(col, F.lit(","), F.lit(".")).try_cast(f"decimal({precision},{scale})")
 
 
 def parse_count(col: Column) -> Column:
-    """``"24,269"`` -> 24269: in a count the comma groups thousands."""
-    return F.replace(col, F.lit(","), F.lit("")).try_cast("bigint")
+    """``"24,269"`` -> 24269 and ``"4.0"`` -> 4: in a count the comma groups thousands, and a part is no count."""
+    return F.regexp_replace(F.replace(col, F.lit(","), F.lit("")), r"\.0*$", "").try_cast("bigint")
 
 
 def _digits_and_dot(col: Column) -> Column:
@@ -24,13 +27,20 @@ def _digits_and_dot(col: Column) -> Column:
 
 
 def parse_money(col: Column, precision: int = 10, scale: int = 2) -> Column:
-    """Currency text -> decimal: everything but digits and the dot is dropped, blank -> NULL."""
+    """Currency text -> decimal: everything but digits and the dot is dropped, blank -> NULL.
+
+    That drops signs and exponents too, as amounts of the facts are defined; ``parse_number`` keeps them.
+    """
     return _digits_and_dot(col).try_cast(f"decimal({precision},{scale})")
 
 
 def parse_number(col: Column) -> Column:
-    """Text with signs, units or thousands commas around a number -> double."""
-    return _digits_and_dot(col).try_cast("double")
+    """``"-₹1,234.50"`` -> -1234.5, ``"5%"`` -> 5.0, ``"1.5E3"`` -> 1500.0; what is no number then -> NULL.
+
+    Currency signs, percent signs, thousands commas and spaces are taken off; sign and exponent count.
+    """
+    bare = F.regexp_replace(col, r"[\p{Sc}%,\s]", "")
+    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 
 def numeric_or_null(col: Column) -> Column:

@@ -127,16 +127,35 @@ def _model(spec: Mapping[str, Any]) -> Model:
     return Model(fields, tuple(spec.get("primaryKey", ())), tuple(_quality(q) for q in spec.get("quality", [])))
 
 
+# The bounds that a contract's SQL check may state.
+_COMPARISONS = {
+    "mustBe": "=",
+    "mustBeEqualTo": "=",
+    "mustNotBe": "!=",
+    "mustNotBeEqualTo": "!=",
+    "mustBeGreaterThan": ">",
+    "mustBeGreaterThanOrEqualTo": ">=",
+    "mustBeLessThan": "<",
+    "mustBeLessThanOrEqualTo": "<=",
+}
+_ABOUT = ("type", "query", "description", "name")
+
+
+def _sql_quality(spec: Mapping[str, Any]) -> r.Rule:
+    """A key that is not understood raises: a bound left out would let anything pass."""
+    unknown = set(spec) - {*_ABOUT, *_COMPARISONS, "mustBeBetween", "mustSatisfy"}
+    if unknown:
+        raise ValueError(f"unknown keys in a quality check: {', '.join(sorted(unknown))}")
+    must = tuple(f"{sign} {spec[key]}" for key, sign in _COMPARISONS.items() if spec.get(key) is not None)
+    if spec.get("mustBeBetween") is not None:
+        low, high = spec["mustBeBetween"]
+        must += (f">= {low}", f"<= {high}")
+    return r.contract_sql(spec["query"], must=must, must_satisfy=spec.get("mustSatisfy", ()))
+
+
 def _quality(spec: Mapping[str, Any]) -> r.Rule:
     if spec["type"] == "sql":
-        bounds = spec.get("mustBeBetween")
-        return r.contract_sql(
-            spec["query"],
-            must_be_greater_than=spec.get("mustBeGreaterThan"),
-            must_be_between=tuple(bounds) if bounds else None,
-            must_be_equal_to=spec.get("mustBeEqualTo"),
-            must_satisfy=spec.get("mustSatisfy", ()),
-        )
+        return _sql_quality(spec)
     check = spec["implementation"]
     if "expectation_type" in check:
         return rule_from_expectation(check["expectation_type"], check["kwargs"])

@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()) -> DataFrame:
     """Keep the first row of every key under ``order_by``.
 
-    All other columns, in order of name, break ties, so the survivor does not depend on the
-    layout of the data. Spark keeps only the first row per key of each input partition before
+    All other columns, in order of name, break ties, a value before NULL, so the survivor does not
+    depend on the layout of the data. Spark keeps only the first row per key of each input partition before
     the shuffle (WindowGroupLimit), hence a key holding much of the table is no hot spot.
     """
-    rest = [F.col(c).asc_nulls_first() for c in sorted(df.columns) if c not in keys]
+    rest = [F.col(c).asc_nulls_last() for c in sorted(df.columns) if c not in keys]
     window = Window.partitionBy(*keys).orderBy(*(list(order_by) + rest or [F.lit(1)]))
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")

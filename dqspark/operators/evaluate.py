@@ -15,8 +15,6 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StringType
-
 from dqspark.operators.rules import (
     Aggregates,
     GroupRule,
@@ -28,6 +26,7 @@ from dqspark.operators.rules import (
     SchemaRule,
     SqlRule,
 )
+from dqspark.operators.violations import as_key
 
 RESULT_SCHEMA = (
     "position int, rule string, column string, definition string, metrics array<string>, "
@@ -272,14 +271,16 @@ def count_per_key(
 def _reference_parts(
     df: DataFrame, rules: list[tuple[int, ReferenceRule]], tables: Mapping[str, DataFrame]
 ) -> list[DataFrame]:
-    """One pass for each column that refers to other tables, however many parents it has."""
+    """One pass for each column that refers to other tables, and each type its parents' keys have."""
     parts = []
     for column in dict.fromkeys(rule.columns[0] for _, rule in rules):
         mine = [(position, rule) for position, rule in rules if rule.columns[0] == column]
         known = [a for a in mine if a[1].parent_column in getattr(tables.get(a[1].parent), "columns", ())]
         lost = [(position, rule, FAILED) for position, rule in mine if (position, rule) not in known]
-        if known:
-            parts.append(_reference_part(df, column, known, tables))
+        kinds = dict.fromkeys(tables[rule.parent].schema[rule.parent_column].dataType for _, rule in known)
+        for kind in kinds:
+            alike = [a for a in known if tables[a[1].parent].schema[a[1].parent_column].dataType == kind]
+            parts.append(_reference_part(df, column, alike, tables))
         if lost:
             parts.append(_unfold(df.sparkSession.range(1), lost))
     return parts
@@ -291,26 +292,27 @@ def _reference_part(
     """Orphans by one grouping of the child's and all parents' keys together.
 
     No join: child counts and parent marks are combined on the map side, so neither a hot
-    foreign key nor a large parent makes a large task.
+    foreign key nor a large parent makes a large task. Text and numbers meet as ``as_key`` says; a child's text
+    that is no number is an orphan.
     """
     sides = [(df, column)] + [(tables[rule.parent], rule.parent_column) for _, rule in rules]
-    types = {side.schema[key].dataType for side, key in sides}
-    as_text = len(types) > 1 and StringType() in types  # text and numbers meet as text
 
     def keys(i: int) -> DataFrame:
         side, key = sides[i]
-        value = F.col(key).cast("string") if as_text else F.col(key)
-        return side.select(value.alias("k"), *[F.lit(int(i == j)).alias(f"in{j}") for j in range(len(sides))])
+        value = as_key(side, key, *sides[0 if i else 1])
+        unread = F.col(key).isNotNull() & value.isNull() if i == 0 else F.lit(False)
+        marks = [F.lit(int(i == j)).alias(f"in{j}") for j in range(len(sides))]
+        return side.select(value.alias("k"), unread.alias("unread"), *marks)
 
     together = reduce(DataFrame.union, [keys(i) for i in range(len(sides))])
     marks = [F.max(f"in{j}").alias(f"in{j}") for j in range(1, len(sides))]
-    counted = together.groupBy("k").agg(F.sum("in0").alias("n"), *marks)
+    counted = together.groupBy("k", "unread").agg(F.sum("in0").alias("n"), *marks)
 
     def total(amount: Column) -> Column:
         return F.coalesce(F.sum(amount), F.lit(0))
 
     orphaned = [
-        total(F.when(F.col("k").isNotNull() & (F.col(f"in{j}") == 0), F.col("n"))).alias(f"orphans{j}")
+        total(F.when((F.col("unread") | F.col("k").isNotNull()) & (F.col(f"in{j}") == 0), F.col("n"))).alias(f"orphans{j}")
         for j in range(1, len(sides))
     ]
     seen = counted.agg(total(F.col("n")).alias("rows"), *orphaned)
@@ -376,10 +378,15 @@ def _sql_parts(
         elif rule.satisfy:
             held = [F.coalesce(F.expr(c), F.lit(False)) for c in rule.satisfy]
             broken = reduce(Column.__add__, [F.when(h, 0).otherwise(1) for h in held])
-            seen = found.select(broken.alias("n")).agg(F.sum("n").alias("n"))
+            try:
+                seen = found.select(broken.alias("n")).agg(F.sum("n").alias("n"))
+            except AnalysisException:  # a condition on a column that is not there
+                parts.append(_unfold(spark.range(1), [(position, rule, FAILED)]))
+                continue
             reading = Reading(None, F.col("n"), None, F.coalesce(F.col("n") == 0, F.lit(False)))
         else:
-            seen = found.agg(F.max(F.col(found.columns[0])).cast("double").alias("value"))
-            reading = Reading(observed=F.col("value"))
+            named = found.toDF("value", *[f"other{i}" for i in range(1, len(found.columns))])
+            seen = named.agg(F.max("value").cast("double").alias("value"), F.count(F.lit(1)).alias("n"))
+            reading = Reading(observed=F.col("value"), passed=F.col("n") <= 1)  # a metric is one number
         parts.append(_unfold(seen, [(position, rule, reading)]))
     return parts

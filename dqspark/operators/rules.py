@@ -284,8 +284,15 @@ def row_count(must: Limits = "> 0", warn: Limits = None, fail: Limits = None) ->
     return _table_metric("row_count", None, lambda a: a.rows(), must, warn, fail)
 
 
-def row_count_between(low: int, high: int) -> Rule:
-    return row_count((f">= {low}", f"<= {high}"))
+def _bounds(low: float | None, high: float | None) -> tuple[str, ...]:
+    """Thresholds for a range that may be open on one side."""
+    if low is None and high is None:
+        raise ValueError("a range needs a bound")
+    return tuple(f"{op} {bound}" for op, bound in ((">=", low), ("<=", high)) if bound is not None)
+
+
+def row_count_between(low: int | None, high: int | None) -> Rule:
+    return row_count(_bounds(low, high))
 
 
 def metric_min(column: str, must: Limits = None, warn: Limits = None, fail: Limits = None) -> Rule:
@@ -300,10 +307,12 @@ def metric_max(column: str, must: Limits = None, warn: Limits = None, fail: Limi
     )
 
 
-def not_null(column: str) -> Rule:
+def not_null(column: str, mostly: float = 1.0) -> Rule:
+    """``mostly`` is the share of all rows that must have a value."""
+
     def read(aggregates: Aggregates, schema: StructType) -> Reading:
-        nulls = aggregates.nulls(column)
-        return Reading(aggregates.rows(), nulls, None, nulls == 0)
+        rows, nulls = aggregates.rows(), aggregates.nulls(column)
+        return Reading(rows, nulls, None, nulls == 0 if mostly >= 1 else nulls <= F.lit(1.0 - mostly) * rows)
 
     return MetricRule(
         rule="not_null",
@@ -540,10 +549,11 @@ class GroupRule(Rule):
         return duplicated_rows(df, self.columns)
 
 
-def _unique(rule: str, columns: Sequence[str]) -> Rule:
+def _unique(rule: str, columns: Sequence[str], mostly: float = 1.0) -> Rule:
     def read(keys: KeyCounts) -> Reading:
         unexpected = keys.rows_of_repeated()
-        return Reading(keys.rows(), unexpected, None, unexpected == 0)
+        held = unexpected <= F.lit(1.0 - mostly) * (unexpected + keys.single())
+        return Reading(keys.rows(), unexpected, None, unexpected == 0 if mostly >= 1 else held)
 
     return GroupRule(
         rule=rule,
@@ -554,9 +564,12 @@ def _unique(rule: str, columns: Sequence[str]) -> Rule:
     )
 
 
-def unique(column: str) -> Rule:
-    """Every value occurs once; all rows of a value that does not are unexpected."""
-    return _unique("unique", [column])
+def unique(column: str, mostly: float = 1.0) -> Rule:
+    """Every value occurs once; all rows of a value that does not are unexpected.
+
+    ``mostly`` is the share of the non-NULL rows whose value must occur once.
+    """
+    return _unique("unique", [column], mostly)
 
 
 def compound_unique(columns: Sequence[str]) -> Rule:
@@ -601,16 +614,18 @@ def duplicate_count(
     )
 
 
-def distinct_between(column: str, low: int, high: int) -> Rule:
+def distinct_between(column: str, low: int | None, high: int | None) -> Rule:
+    between = f"{low} to {high}" if None not in (low, high) else _bounds(low, high)[0]
+
     def read(keys: KeyCounts) -> Reading:
         return Reading(keys.rows(), None, keys.distinct().cast("double"))
 
     return GroupRule(
         rule="distinct_between",
         columns=(column,),
-        definition=f"{low} to {high} distinct values of {column}",
+        definition=f"{between} distinct values of {column}",
         metrics=("distinct_count",),
-        must=thresholds((f">= {low}", f"<= {high}")),
+        must=thresholds(_bounds(low, high)),
         read=read,
     )
 
@@ -672,15 +687,17 @@ def contract_sql(
     must_be_between: tuple[float, float] | None = None,
     must_be_equal_to: float | None = None,
     must_satisfy: Sequence[str] = (),
+    must: tuple[str, ...] = (),
 ) -> Rule:
-    """One number within bounds, or several columns that satisfy all the given conditions."""
-    must: tuple[str, ...] = ()
+    """One number within bounds, or several columns that satisfy all the given conditions; without either it raises."""
     if must_be_greater_than is not None:
         must += (f"> {must_be_greater_than}",)
     if must_be_between is not None:
         must += (f">= {must_be_between[0]}", f"<= {must_be_between[1]}")
     if must_be_equal_to is not None:
         must += (f"= {must_be_equal_to}",)
+    if not must and not must_satisfy:
+        raise ValueError(f"no bound for {query!r}")
     return SqlRule(
         rule="contract_sql",
         definition=f"{query} must be {' and '.join(must) or ' and '.join(must_satisfy)}",

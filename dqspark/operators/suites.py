@@ -33,8 +33,10 @@ def rule_from_expectation(expectation: str, kwargs: Mapping[str, Any]) -> r.Rule
     name, k = _RULE_OF[expectation], dict(kwargs)
     column, mostly = k.get("column"), k.get("mostly", 1.0)
     low, high = k.get("min_value"), k.get("max_value")
-    if name in ("column_exists", "not_null", "unique"):
-        return getattr(r, name)(column)
+    if name == "column_exists":
+        return r.column_exists(column)
+    if name in ("not_null", "unique"):
+        return getattr(r, name)(column, mostly)
     if name in ("columns_ordered", "columns_set"):
         return getattr(r, name)(k.get("column_list") or k["column_set"])
     if name == "column_count":

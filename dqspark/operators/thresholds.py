@@ -17,7 +17,7 @@ _COMPARE = {
     "<": operator.lt,
     "=": operator.eq,
 }
-_FORM = re.compile(r"\s*(>=|<=|!=|>|<|=)\s*(-?\d+(?:\.\d+)?)\s*(%?)\s*")
+_FORM = re.compile(r"\s*(>=|<=|!=|>|<|=)\s*([-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)\s*(%?)\s*")
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import NumericType, StringType
 
 from dqspark.operators.joins import join_reduced
 
@@ -25,14 +26,29 @@ def violations_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
+def as_key(df: DataFrame, column: str, other: DataFrame, other_column: str) -> Column:
+    """A key to be compared with another table's: text is read as the number that the other side holds.
+
+    Text that is no number becomes NULL, which no key equals.
+    """
+    own, type_ = df.schema[column].dataType, other.schema[other_column].dataType
+    mixed = isinstance(own, StringType) and isinstance(type_, NumericType)
+    return F.trim(F.col(column)).try_cast(type_) if mixed else F.col(column)
+
+
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Rows of ``child`` whose key has no parent; a NULL key refers to nothing and is left out.
 
-    Either side may have a hot key: parent keys are made distinct, which combines them on the
+    Where one side is text and the other a number, they meet as numbers (``as_key``), and text that is none is
+    an orphan. Either side may have a hot key: parent keys are made distinct, which combines them on the
     map side, and the join lets AQE split the child's.
     """
-    known = parent.select(F.col(pk).alias("_pk")).distinct()
-    return join_reduced(child, known, fk, "_pk", "left_anti")
+    known = parent.select(as_key(parent, pk, child, fk).alias("_pk")).distinct()
+    if not isinstance(child.schema[fk].dataType, StringType) or child.schema[fk].dataType == parent.schema[pk].dataType:
+        return join_reduced(child, known, fk, "_pk", "left_anti")
+    read = child.withColumn("_fk", as_key(child, fk, parent, pk))
+    unread = read.filter(F.col(fk).isNotNull() & F.col("_fk").isNull())
+    return join_reduced(read, known, "_fk", "_pk", "left_anti").union(unread).drop("_fk")
 
 
 def duplicated_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -115,54 +115,54 @@ FACT_RULESETS: dict[str, list[Rule]] = {
 
 
 def _expect(kind: str, **kwargs) -> dict:
-    return {"expectation_type": f"expect_{kind}", "kwargs": kwargs}
+    return {"expectation_type": kind, "kwargs": kwargs}
 
 
 _AVG_RATING_SUITE = {
     "expectations": [
-        _expect("column_to_exist", column="product_id"),
-        _expect("column_values_to_not_be_null", column="product_id"),
-        _expect("column_to_exist", column="product_name"),
-        _expect("column_values_to_not_be_null", column="product_name"),
-        _expect("column_value_lengths_to_be_between", column="product_name", min_value=3),
-        _expect("column_to_exist", column="avg_rating"),
-        _expect("column_values_to_be_between", column="avg_rating", min_value=0.0, max_value=5.0, mostly=1.0),
+        _expect("expect_column_to_exist", column="product_id"),
+        _expect("expect_column_values_to_not_be_null", column="product_id"),
+        _expect("expect_column_to_exist", column="product_name"),
+        _expect("expect_column_values_to_not_be_null", column="product_name"),
+        _expect("expect_column_value_lengths_to_be_between", column="product_name", min_value=3),
+        _expect("expect_column_to_exist", column="avg_rating"),
+        _expect("expect_column_values_to_be_between", column="avg_rating", min_value=0.0, max_value=5.0, mostly=1.0),
     ]
 }
 
 SUITE_DICTS: dict[str, dict] = {
     "dim_product": {
         "expectations": [
-            _expect("column_to_exist", column="product_id"),
-            _expect("column_values_to_not_be_null", column="product_id"),
-            _expect("column_values_to_be_unique", column="product_id"),
-            _expect("column_values_to_not_be_null", column="product_name"),
-            _expect("column_values_to_not_be_null", column="category"),
-            _expect("column_value_lengths_to_be_between", column="about_product", min_value=10),
-            _expect("column_values_to_match_regex", column="img_link", regex="http[s]?://.*", mostly=0.9),
-            _expect("column_values_to_match_regex", column="product_link", regex="http[s]?://.*", mostly=0.9),
+            _expect("expect_column_to_exist", column="product_id"),
+            _expect("expect_column_values_to_not_be_null", column="product_id"),
+            _expect("expect_column_values_to_be_unique", column="product_id"),
+            _expect("expect_column_values_to_not_be_null", column="product_name"),
+            _expect("expect_column_values_to_not_be_null", column="category"),
+            _expect("expect_column_value_lengths_to_be_between", column="about_product", min_value=10),
+            _expect("expect_column_values_to_match_regex", column="img_link", regex="http[s]?://.*", mostly=0.9),
+            _expect("expect_column_values_to_match_regex", column="product_link", regex="http[s]?://.*", mostly=0.9),
         ]
     },
     "dim_rating": {
         "expectations": [
-            _expect("column_to_exist", column="user_id"),
-            _expect("column_values_to_not_be_null", column="user_id"),
-            _expect("column_to_exist", column="product_id"),
-            _expect("column_values_to_not_be_null", column="product_id"),
-            _expect("column_to_exist", column="rating"),
-            _expect("column_values_to_be_between", column="rating", min_value=0.0, max_value=5.0),
-            _expect("column_to_exist", column="rating_count"),
-            _expect("column_values_to_be_between", column="rating_count", min_value=0),
+            _expect("expect_column_to_exist", column="user_id"),
+            _expect("expect_column_values_to_not_be_null", column="user_id"),
+            _expect("expect_column_to_exist", column="product_id"),
+            _expect("expect_column_values_to_not_be_null", column="product_id"),
+            _expect("expect_column_to_exist", column="rating"),
+            _expect("expect_column_values_to_be_between", column="rating", min_value=0.0, max_value=5.0),
+            _expect("expect_column_to_exist", column="rating_count"),
+            _expect("expect_column_values_to_be_between", column="rating_count", min_value=0),
         ]
     },
     "dim_user": {
         "expectations": [
-            _expect("column_to_exist", column="user_id"),
-            _expect("column_values_to_not_be_null", column="user_id"),
-            _expect("column_values_to_be_unique", column="user_id"),
-            _expect("column_to_exist", column="user_name"),
-            _expect("column_values_to_not_be_null", column="user_name"),
-            _expect("column_value_lengths_to_be_between", column="user_name", min_value=3),
+            _expect("expect_column_to_exist", column="user_id"),
+            _expect("expect_column_values_to_not_be_null", column="user_id"),
+            _expect("expect_column_values_to_be_unique", column="user_id"),
+            _expect("expect_column_to_exist", column="user_name"),
+            _expect("expect_column_values_to_not_be_null", column="user_name"),
+            _expect("expect_column_value_lengths_to_be_between", column="user_name", min_value=3),
         ]
     },
     "fact_product_rating": _AVG_RATING_SUITE,
@@ -447,7 +447,7 @@ FULL_CONTRACT = Contract.from_dict(
                 "quality": [
                     {
                         "type": "custom",
-                        "implementation": _expect("table_row_count_to_be_between", min_value=0, max_value=5),
+                        "implementation": _expect("expect_table_row_count_to_be_between", min_value=0, max_value=5),
                     }
                 ],
             },

@@ -119,7 +119,8 @@ def dim_rating(stg: DataFrame, parse: bool = True) -> DataFrame:
 def _average(df: DataFrame, column: str) -> Column:
     """Mean as a double. Decimals are summed exactly, so the order of the rows cannot show."""
     if isinstance(df.schema[column].dataType, DecimalType):
-        return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
+        total = F.sum(F.col(column).cast("decimal(38,2)"))
+        return total.cast("double") / F.nullif(F.count(column), F.lit(0))
     return F.avg(numeric_or_null(F.col(column)))
 
 
@@ -198,7 +199,8 @@ def refresh(
     rows = read_csv(spark, raw, RAW_SCHEMA) if isinstance(raw, str) else raw
 
     def save(name: str, df: DataFrame) -> DataFrame:
-        return upsert(df, f"{out}/{name}", KEYS[name], order_by if name == "stg_sales" else ())
+        order, grouped = order_by if name == "stg_sales" else (), name.startswith("fact_")
+        return upsert(df, f"{out}/{name}", KEYS[name], order, unique=grouped)
 
     def check(tables: Mapping[str, DataFrame], rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame:
         outcomes = evaluate_all(tables, rulesets).collect()  # one row per rule
@@ -209,8 +211,8 @@ def refresh(
     stg = save("stg_sales", cast_columns(rows))
     tables = together(
         {
-            "dim_product": lambda: save("dim_product", dim_product(stg)),
-            "dim_user": lambda: save("dim_user", dim_user(stg)),
+            "dim_product": lambda: save("dim_product", stg.select(*PRODUCT_COLUMNS)),
+            "dim_user": lambda: save("dim_user", stg.select("user_id", "user_name")),
             "dim_rating": lambda: save("dim_rating", dim_rating(stg)),
         }
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqspark.registry.monitoring import SCANS
 from dqspark.session import scratch_path
-from dqspark.sources.sales import scan_rows
+from dqspark.registry.inputs import scan_rows
 from dqspark.sources.writers import append_results
 from dqspark.streaming import alerts as a
 

@@ -13,7 +13,7 @@ from dqspark.plans.warehouse import cast_columns
 from dqspark.registry import sql
 from dqspark.registry.results import OUTCOME_COLUMNS
 from dqspark.registry.suites import NOT_WHOLE
-from dqspark.sources.sales import given, raw_sales
+from dqspark.registry.inputs import given, raw_sales
 
 _NOT_NUMBER = r"NOT regexp_matches({c}, '^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$')"
 

@@ -9,16 +9,6 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan out to all cores when it would leave more than half of them idle.
-
-    A small file with one row group is otherwise the work of one task. A table large enough to
-    keep the cluster busy is left as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() < cores else df
-
-
 def _every(column: str, n: int):
     return F.col(column) % n == 0
 
@@ -29,8 +19,9 @@ def _grouped(value, digits: int):
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sales file as it comes in: 16 text columns with currency signs, thousands commas, decimal
-    commas, junk, blanks, NULLs, bad links and repeated review ids, one row per order line."""
-    line, order = spread(given(spark, sf_dir, "lineitem")), given(spark, sf_dir, "orders")
+    commas, negative prices, exponents, counts with a decimal part, junk, NULLs, blanks, bad links, users with and
+    without a name, and repeated review ids, one row per order line."""
+    line, order = given(spark, sf_dir, "lineitem"), given(spark, sf_dir, "orders")
     part, customer = given(spark, sf_dir, "part"), given(spark, sf_dir, "customer")
     sales = (
         line.join(order, F.col("o_orderkey") == F.col("l_orderkey"))
@@ -45,20 +36,28 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "product_id": F.concat(F.lit("P"), part_text),
         "product_name": F.when(_every("l_partkey", 53), "   ").otherwise(F.col("p_name")),
         "category": F.when(~_every("l_partkey", 41), F.col("p_type")),
-        "discounted_price": F.when(~_every("l_orderkey", 89), F.concat(F.lit("₹"), _grouped(paid, 2))),
-        "actual_price": F.concat(F.lit("₹"), _grouped(F.col("l_extendedprice"), 2)),
+        "discounted_price": F.when(_every("l_orderkey", 103), F.concat((F.col("l_quantity") / 4).cast("string"), F.lit("E2")))
+        .when(_every("l_orderkey", 83), F.concat(F.lit("-₹"), _grouped(paid, 2)))
+        .when(~_every("l_orderkey", 89), F.concat(F.lit("₹"), _grouped(paid, 2))),
+        "actual_price": F.concat(
+            F.when(_every("l_orderkey", 83), "-₹").otherwise("₹"), _grouped(F.col("l_extendedprice"), 2)
+        ),
         "discount_percentage": F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%")),
         "rating": F.when(_every("l_orderkey", 97), "|")
         .when(_every("l_orderkey", 5), F.replace(stars, F.lit("."), F.lit(",")))
         .otherwise(stars),
         "rating_count": F.when(
-            ~_every("l_orderkey", 101), _grouped(F.col("l_partkey") * F.col("l_linenumber"), 0)
+            ~_every("l_orderkey", 101),
+            F.concat(
+                _grouped(F.col("l_partkey") * F.col("l_linenumber"), 0),
+                F.when(_every("l_orderkey", 107), ".0").otherwise(""),
+            ),
         ),
         "about_product": F.concat_ws(
             " ", "p_brand", "p_name", F.lit("size"), F.col("p_size").cast("string")
         ),
         "user_id": F.concat(F.lit("U"), F.col("o_custkey").cast("string")),
-        "user_name": F.when(~_every("o_custkey", 67), F.col("c_name")),
+        "user_name": F.when(~(_every("o_custkey", 67) & (F.col("l_linenumber") % 2 == 1)), F.col("c_name")),
         "review_id": F.concat_ws(
             "-", F.concat(F.lit("R"), F.col("l_orderkey").cast("string")), F.col("l_linenumber").cast("string")
         ),
@@ -114,5 +113,5 @@ def suite_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("expectation_type"),
         _column().alias("column"),
         (_outcome() == "pass").alias("success"),
-        F.least(F.lit(100.0), F.col("value")).alias("success_percent"),
+        (F.col("value") % 100).alias("success_percent"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from dqspark.operators.results import preview
 from dqspark.plans import monitor as m
-from dqspark.sources.sales import scan_rows, suite_rows
+from dqspark.registry.inputs import scan_rows, suite_rows
 
 # The events cover 30 days; the range asked for is the last seven.
 START, END = "2024-01-23T00:00:00+00:00", "2024-01-30T00:00:00+00:00"
@@ -71,7 +71,7 @@ recent AS (SELECT * FROM timed WHERE t BETWEEN TIMESTAMP '2024-01-23 00:00:00' A
 SUITES = f"""WITH suites AS (SELECT strftime(ts, '%Y%m%dT%H%M%S.%fZ') AS validation_time,
  't' || CAST(user_id % 5 AS VARCHAR) AS data_asset_name, event_type AS expectation_type,
  'c' || CAST(user_id % 3 AS VARCHAR) AS "column", {OUTCOME} = 'pass' AS success,
- least(CAST(100 AS DOUBLE), value) AS success_percent FROM events),
+ value % 100 AS success_percent FROM events),
 recent AS (SELECT * FROM suites WHERE strptime(replace(validation_time, 'Z', ''), '%Y%m%dT%H%M%S.%f')
  BETWEEN TIMESTAMP '2024-01-23 00:00:00' AND TIMESTAMP '2024-01-30 00:00:00')
 """

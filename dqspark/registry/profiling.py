@@ -10,7 +10,7 @@ from dqspark.operators.profile import contract_from_tables, profile, suite_from_
 from dqspark.operators.suites import load_suite, rules_from_suite, save_suite
 from dqspark.registry import sql
 from dqspark.session import scratch_path
-from dqspark.sources.sales import given, raw_sales
+from dqspark.registry.inputs import given, raw_sales
 
 _SHOWN = ("position", "column", "type", "count", "nulls", "distinct", "min", "max", "min_length", "max_length")
 

@@ -6,16 +6,16 @@ RAW_SALES = """raw_sales AS (
 SELECT 'P' || CAST(l_partkey AS VARCHAR) AS product_id,
  CASE WHEN l_partkey % 53 = 0 THEN '   ' ELSE p_name END AS product_name,
  CASE WHEN l_partkey % 41 = 0 THEN NULL ELSE p_type END AS category,
- CASE WHEN l_orderkey % 89 = 0 THEN NULL ELSE '₹' || format('{:,.2f}', CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DOUBLE)) END AS discounted_price,
- '₹' || format('{:,.2f}', l_extendedprice) AS actual_price,
+ CASE WHEN l_orderkey % 103 = 0 THEN CAST(l_quantity / 4 AS VARCHAR) || 'E2' WHEN l_orderkey % 89 = 0 AND l_orderkey % 83 <> 0 THEN NULL ELSE CASE WHEN l_orderkey % 83 = 0 THEN '-₹' ELSE '₹' END || format('{:,.2f}', CAST(round(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DOUBLE)) END AS discounted_price,
+ CASE WHEN l_orderkey % 83 = 0 THEN '-₹' ELSE '₹' END || format('{:,.2f}', l_extendedprice) AS actual_price,
  CAST(CAST(round(l_discount * 100) AS INTEGER) AS VARCHAR) || '%' AS discount_percentage,
  CASE WHEN l_orderkey % 97 = 0 THEN '|'
       WHEN l_orderkey % 5 = 0 THEN replace(CAST(CAST(l_quantity / 10 AS DECIMAL(3,1)) AS VARCHAR), '.', ',')
       ELSE CAST(CAST(l_quantity / 10 AS DECIMAL(3,1)) AS VARCHAR) END AS rating,
- CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE format('{:,}', l_partkey * l_linenumber) END AS rating_count,
+ CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE format('{:,}', l_partkey * l_linenumber) || CASE WHEN l_orderkey % 107 = 0 THEN '.0' ELSE '' END END AS rating_count,
  p_brand || ' ' || p_name || ' size ' || CAST(p_size AS VARCHAR) AS about_product,
  'U' || CAST(o_custkey AS VARCHAR) AS user_id,
- CASE WHEN o_custkey % 67 = 0 THEN NULL ELSE c_name END AS user_name,
+ CASE WHEN o_custkey % 67 = 0 AND l_linenumber % 2 = 1 THEN NULL ELSE c_name END AS user_name,
  'R' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS review_id,
  o_orderpriority AS review_title,
  CASE WHEN l_linenumber = 7 THEN NULL ELSE l_returnflag || l_linestatus || ' ' || o_orderstatus END AS review_content,
@@ -25,21 +25,21 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_
 )"""
 
 TYPED_COLUMNS = """product_id, product_name, category,
- TRY_CAST(NULLIF(regexp_replace(discounted_price, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS discounted_price,
- TRY_CAST(NULLIF(regexp_replace(actual_price, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS actual_price,
- TRY_CAST(NULLIF(regexp_replace(discount_percentage, '[^0-9.]', '', 'g'), '') AS DOUBLE) AS discount_percentage,
+ TRY_CAST(replace(replace(discounted_price, '₹', ''), ',', '') AS DOUBLE) AS discounted_price,
+ TRY_CAST(replace(replace(actual_price, '₹', ''), ',', '') AS DOUBLE) AS actual_price,
+ TRY_CAST(rtrim(discount_percentage, '%') AS DOUBLE) AS discount_percentage,
  TRY_CAST(replace(rating, ',', '.') AS DOUBLE) AS rating,
- TRY_CAST(replace(rating_count, ',', '') AS INTEGER) AS rating_count,
+ TRY_CAST(split_part(replace(rating_count, ',', ''), '.', 1) AS INTEGER) AS rating_count,
  about_product, user_id, user_name, review_id, review_title, review_content, img_link, product_link"""
 
 STG_SALES = f"stg_sales AS (SELECT {TYPED_COLUMNS} FROM raw_sales)"
 
 # One row per product: the last review id, other columns break ties.
 OBT_SALES = """obt_sales AS (SELECT * FROM stg_sales QUALIFY row_number() OVER (PARTITION BY product_id
- ORDER BY review_id DESC NULLS LAST, about_product NULLS FIRST, actual_price NULLS FIRST, category NULLS FIRST,
- discount_percentage NULLS FIRST, discounted_price NULLS FIRST, img_link NULLS FIRST, product_link NULLS FIRST,
- product_name NULLS FIRST, rating NULLS FIRST, rating_count NULLS FIRST, review_content NULLS FIRST,
- review_id NULLS FIRST, review_title NULLS FIRST, user_id NULLS FIRST, user_name NULLS FIRST) = 1)"""
+ ORDER BY review_id DESC NULLS LAST, about_product NULLS LAST, actual_price NULLS LAST, category NULLS LAST,
+ discount_percentage NULLS LAST, discounted_price NULLS LAST, img_link NULLS LAST, product_link NULLS LAST,
+ product_name NULLS LAST, rating NULLS LAST, rating_count NULLS LAST, review_content NULLS LAST,
+ review_id NULLS LAST, review_title NULLS LAST, user_id NULLS LAST, user_name NULLS LAST) = 1)"""
 
 DIM_PRODUCT = """dim_product AS (SELECT DISTINCT product_id, product_name, category, about_product, img_link,
  product_link FROM raw_sales)"""
@@ -48,7 +48,7 @@ DIM_USER = "dim_user AS (SELECT DISTINCT user_id, user_name FROM raw_sales)"
 
 DIM_RATING = """dim_rating AS (SELECT user_id, product_id,
  TRY_CAST(replace(rating, ',', '.') AS DECIMAL(3,2)) AS rating,
- TRY_CAST(replace(rating_count, ',', '') AS BIGINT) AS rating_count FROM raw_sales)"""
+ TRY_CAST(split_part(replace(rating_count, ',', ''), '.', 1) AS BIGINT) AS rating_count FROM raw_sales)"""
 
 # The definition joins the sales as well, which repeats each rating of a product equally often.
 FACT_PRODUCT_RATING = """fact_product_rating AS (SELECT p.product_id, p.product_name,

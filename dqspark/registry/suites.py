@@ -32,7 +32,7 @@ from dqspark.registry.sql import (
     uniqueness,
 )
 from dqspark.session import stored, together
-from dqspark.sources.sales import raw_sales
+from dqspark.registry.inputs import raw_sales
 
 RUN_NAME, RUN_TIME, SCAN_TIME = "nightly", "20240130T010000.000000Z", "2024-01-30T01:00:00+00:00"
 

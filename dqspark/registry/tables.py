@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqspark.functions.clean import is_blank
-from dqspark.operators.evaluate import failing_rows, union_results
+from dqspark.operators.evaluate import evaluate, failing_rows, union_results
 from dqspark.operators.rules import between, matches, references, unique
 from dqspark.operators.violations import orphans, violations_below, violations_between, violations_null
 from dqspark.plans import warehouse as w
@@ -22,7 +22,7 @@ from dqspark.sources.readers import (
     register,
     register_results,
 )
-from dqspark.sources.sales import given, raw_sales, scan_rows
+from dqspark.registry.inputs import given, raw_sales, scan_rows
 from dqspark.sources.writers import (
     append_results,
     ensure_namespace,
@@ -128,6 +128,28 @@ def upsert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(lines.filter("l_quantity <= 30"), path, keys, dearest)
 
 
+def upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source that has gained a column: open orders arrive with one, and finished ones have none."""
+    orders, path = given(spark, sf_dir, "orders"), scratch_path(spark, "orders")
+    upsert(orders, path, ["o_orderkey"])
+    wider = orders.filter("o_orderstatus <> 'F'").withColumn("checked", F.lit("yes"))
+    return upsert(wider, path, ["o_orderkey"], add_columns=True)
+
+
+def orphans_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text keys with junk against a parent's numbers: the rows, and what the rule counts."""
+    child = given(spark, sf_dir, "orders").select(
+        F.concat(F.lit(" "), F.col("o_custkey"), F.when(F.col("o_orderkey") % 7 == 0, "x").otherwise("")).alias("custkey"),
+        "o_orderkey",
+    )
+    parent = given(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0")
+    rows = failing_rows(child, references("custkey", "customer", "c_custkey"), {"customer": parent})
+    counted = evaluate(child, [references("custkey", "customer", "c_custkey")], "orders", {"customer": parent})
+    return rows.withColumn("counted", F.lit(None).cast("long")).union(
+        counted.select(F.lit(None), F.lit(None), "unexpected_count")
+    )
+
+
 def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table made from a frame's schema, filled, replaced by name, and read from the catalog."""
     path = scratch_path(spark, "catalog")
@@ -165,8 +187,9 @@ def results_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "results")
     rows = scan_rows(spark, sf_dir)
     append_results(rows.filter("outcome = 'fail'"), f"{path}/scan", "outcome")
-    append_results(rows.filter("outcome <> 'fail'"), f"{path}/scan", "outcome")
     prefix = "dq_" + path.rsplit("-", 1)[-1] + "_"
+    register_results(spark, path, prefix)
+    append_results(rows.filter("outcome <> 'fail'"), f"{path}/scan", "outcome")
     (name,) = register_results(spark, path, prefix)
     return spark.table(name).groupBy("outcome", "table").agg(F.count(F.lit(1)).alias("n"))
 
@@ -267,6 +290,8 @@ QUERIES = {
         load_by_name,
         upsert_orders,
         upsert_lines,
+        upsert_new_column,
+        orphans_text,
         catalog_overwrite,
         materialized_users,
         built_users,
@@ -342,6 +367,11 @@ source AS (SELECT * FROM lines WHERE l_quantity <= 30
  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice DESC, l_partkey, l_quantity) = 1)
 SELECT * FROM source UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s
  WHERE s.l_orderkey = t.l_orderkey AND s.l_linenumber = t.l_linenumber)""",
+    "upsert_new_column": "SELECT *, CASE WHEN o_orderstatus <> 'F' THEN 'yes' END AS checked FROM orders",
+    "orphans_text": """WITH child AS (SELECT ' ' || o_custkey || CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE '' END AS custkey,
+ o_custkey, o_orderkey FROM orders), bad AS (SELECT custkey, o_orderkey FROM child
+ WHERE o_orderkey % 7 = 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0))
+SELECT custkey, o_orderkey, CAST(NULL AS BIGINT) AS counted FROM bad UNION ALL SELECT NULL, NULL, count(*) FROM bad""",
     "catalog_overwrite": sql.with_tables("dim_product", "SELECT * FROM dim_product"),
     "materialized_users": sql.with_tables("dim_user", "SELECT * FROM dim_user"),
     "built_users": sql.with_tables("dim_user", sql.all_of("dim_user", TEST_CHECKS["dim_user"])),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -12,25 +11,21 @@ from pyspark.sql import DataFrame, SparkSession
 from dqspark.sources.files import remove_folder
 
 
-_local_folders: dict[str, str] = {}
+#: Where the shared folder is named if the cluster names none; a session setting, so tests and benches can set it.
+SHARED = "dqspark.shared.dir"
+
 _made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``, else ``SHARED``.
 
-    Only a local session without that setting gets a temporary folder; a cluster without
-    it is an error, since a folder of one machine would be lost with that machine.
+    Without either it is an error: a folder of one machine would be lost with that machine.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED, None)
+    if not configured:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _local_folders:
-        _local_folders[application] = tempfile.mkdtemp(prefix="dqspark-")
-    return _local_folders[application]
+    return configured.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -81,15 +81,17 @@ def jdbc_options(
 
 
 def register_results(spark: SparkSession, path: str, prefix: str = "dq_") -> list[str]:
-    """Make every result folder below ``path`` a catalog table named ``prefix`` + folder."""
+    """Make every result folder below ``path`` a catalog table named ``prefix`` + folder.
+
+    Called again, it finds the folders and partitions that were appended since.
+    """
     names = []
     for folder in child_folders(spark, path):
         name = prefix + folder.rstrip("/").rsplit("/", 1)[-1]
         if not spark.catalog.tableExists(name):
             spark.catalog.createTable(name, path=folder, source="parquet")
-            if any(part.isPartition for part in spark.catalog.listColumns(name)):
-                spark.catalog.recoverPartitions(name)
-        else:
-            spark.catalog.refreshTable(name)
+        if any(part.isPartition for part in spark.catalog.listColumns(name)):
+            spark.catalog.recoverPartitions(name)
+        spark.catalog.refreshTable(name)
         names.append(name)
     return names

@@ -21,26 +21,50 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def upsert(
-    source: DataFrame, target: str, keys: Sequence[str], order_by: Sequence[Column] = (), keep: int = 2
+    source: DataFrame,
+    target: str,
+    keys: Sequence[str],
+    order_by: Sequence[Column] = (),
+    keep: int = 2,
+    catalog: bool = False,
+    unique: bool = False,
+    add_columns: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into a table: same key -> replaced, new key -> added. Returns the table.
 
-    ``target`` is the name of a catalog table that supports MERGE (Delta, Iceberg), where only
-    files with matches are rewritten, or the path of a Parquet table kept as snapshots.
+    ``target`` is the path of a Parquet table kept as snapshots or, with ``catalog``, the name of a catalog table.
+    The first load creates that table and its namespace; later ones need a table that supports MERGE (Delta,
+    Iceberg), where only files with matches are rewritten. ``unique`` says that the source has one row per key
+    already, as after a grouping by the keys, which saves a shuffle.
 
-    The source is reduced to one row per key first. A NULL in a key equals a NULL there, and so
+    A column that the source has and the table lacks raises; with ``add_columns`` it is added to a
+    Parquet table, NULL in the old rows. The source is reduced to one row per key first. A NULL in a key equals a NULL there, and so
     it does in the merge; were it to match nothing, every run would add such rows again.
     """
-    spark, rows = source.sparkSession, dedup(source, keys, order_by)
-    if "/" not in target:
+    spark, rows = source.sparkSession, source if unique else dedup(source, keys, order_by)
+    if catalog:
+        if not spark.catalog.tableExists(target):
+            ensure_namespace(spark, target.rpartition(".")[0]) if "." in target else None
+            return materialize(rows, target)
+        _no_more_columns(rows, spark.table(target), target)
         merge_into(rows, target, keys)
         return spark.table(target)
     if not snapshots(spark, target):
         return write_snapshot(rows, target, keep)
-    return _merge_snapshot(rows, target, keys, keep)
+    return _merge_snapshot(rows, target, keys, keep, add_columns)
 
 
-def _merge_snapshot(rows: DataFrame, target: str, keys: Sequence[str], keep: int) -> DataFrame:
+def _no_more_columns(rows: DataFrame, table: DataFrame, name: str) -> None:
+    """Nothing is dropped in silence: columns that the table lacks are an error."""
+    known = {c.lower() for c in table.columns}
+    more = [c for c in rows.columns if c.lower() not in known]
+    if more:
+        raise ValueError(f"{name} has no column {', '.join(more)}")
+
+
+def _merge_snapshot(
+    rows: DataFrame, target: str, keys: Sequence[str], keep: int, add_columns: bool = False
+) -> DataFrame:
     """The next snapshot: rows of the last one whose key the source lacks, and the source.
 
     The source is read twice and therefore written down first. That also gives the join its
@@ -49,11 +73,14 @@ def _merge_snapshot(rows: DataFrame, target: str, keys: Sequence[str], keep: int
     """
     spark = rows.sparkSession
     current, incoming = read_snapshot(spark, target), scratch_path(spark, "upsert")
-    rows.select(*current.columns).write.parquet(incoming)
+    if not add_columns:
+        _no_more_columns(rows, current, target)
+    more = [c for c in rows.columns if c.lower() not in {c.lower() for c in current.columns}]
+    rows.select(*current.columns, *more).write.parquet(incoming)
     rows = spark.read.parquet(incoming)
     replaced = rows.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
     same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
-    merged = write_snapshot(current.join(replaced, same, "left_anti").unionByName(rows), target, keep)
+    merged = write_snapshot(current.join(replaced, same, "left_anti").unionByName(rows, allowMissingColumns=True), target, keep)
     remove_folder(spark, incoming)
     return merged
 
@@ -77,9 +104,10 @@ def ensure_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
 
 
 def insert_overwrite(df: DataFrame, name: str) -> None:
-    """Replace all rows of an existing table; columns go by name."""
-    columns = df.sparkSession.table(name).columns
-    df.select(*columns).write.insertInto(name, overwrite=True)
+    """Replace all rows of an existing table; columns go by name, one that the table lacks raises."""
+    table = df.sparkSession.table(name)
+    _no_more_columns(df, table, name)
+    df.select(*table.columns).write.insertInto(name, overwrite=True)
 
 
 def materialize(df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:

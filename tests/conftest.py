@@ -17,6 +17,7 @@ def spark():
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.files.openCostInBytes", "64k")
         .config("spark.checkpoint.dir", f"{folder}/shared")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .getOrCreate()

@@ -30,6 +30,7 @@ def test_decimal_comma(spark):
 
 def test_count_drops_thousands_commas(spark):
     assert on(spark, parse_count, "24,269", "7", "1,234,567", "x", "", None) == [24269, 7, 1234567, None, None, None]
+    assert on(spark, parse_count, "4.0", "1,000.", "4.5", "-2.00") == [4, 1000, None, -2]
 
 
 def test_money(spark):
@@ -39,6 +40,8 @@ def test_money(spark):
 
 def test_number(spark):
     assert on(spark, parse_number, "64%", "₹2,500", "%", None) == [64.0, 2500.0, None, None]
+    assert on(spark, parse_number, "-12.5", "1.5E3", "-5%", "-₹1,234.50", " 7 ") == [-12.5, 1500.0, -5.0, -1234.5, 7.0]
+    assert on(spark, parse_number, "NaN", "1d", "inf", "1-2", "E3", "") == [None] * 6
 
 
 def test_numeric_or_null_wants_the_whole_text(spark):

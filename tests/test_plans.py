@@ -10,7 +10,7 @@ from dqspark.operators.violations import duplicated_rows, orphans
 from dqspark.plans import monitor as m
 from dqspark.plans import warehouse as w
 from dqspark.plans.rulesets import OBT_SCAN, OBT_SUITE
-from dqspark.sources.sales import given, raw_sales
+from dqspark.registry.inputs import given, raw_sales
 from dqspark.sources.writers import upsert
 
 

@@ -15,9 +15,9 @@ SLOW = settings(
 
 
 def first_rows(rows):
-    """The survivor of each key: largest n, then the smallest text with NULL before all."""
+    """The survivor of each key: largest n, then the smallest text, NULL after all."""
     best = {}
-    for k, n, v in sorted(rows, key=lambda row: (-row[1], row[2] is not None, row[2] or "")):
+    for k, n, v in sorted(rows, key=lambda row: (-row[1], row[2] is None, row[2] or "")):
         best.setdefault(k, (k, n, v))
     return best
 

@@ -219,3 +219,24 @@ def test_stream_takes_each_file_once(spark, scans, tmp_path):
 def test_failing_rows_of_a_compound_key(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1), (None, None), (None, None)], "x string, y int")
     assert [x["x"] for x in failing_rows(df, r.compound_unique(["x", "y"])).collect()] == ["a", "a"]
+
+
+@pytest.mark.parametrize(
+    "bound, outcome",
+    [
+        ({"mustBe": 2}, "pass"), ({"mustNotBe": 2}, "fail"), ({"mustBeEqualTo": 3}, "fail"), ({"mustNotBeEqualTo": 3}, "pass"),
+        ({"mustBeGreaterThan": 1}, "pass"), ({"mustBeGreaterThanOrEqualTo": 3}, "fail"), ({"mustBeLessThan": 0}, "fail"),
+        ({"mustBeLessThanOrEqualTo": 2}, "pass"), ({"mustBeBetween": [3, 4]}, "fail"), ({"mustBeGreaterThan": 1e-05}, "pass"),
+    ],
+)
+def test_contract_bounds(spark, bound, outcome):
+    check = {"type": "sql", "query": "SELECT count(*) FROM t", **bound}
+    contract = Contract.from_dict({"models": {"t": {"fields": {}, "quality": [check]}}})
+    assert [row["outcome"] for row in run_contract({"t": spark.range(2)}, contract).collect()] == [outcome]
+
+
+def test_unknown_contract_bound_raises():
+    for check in ({"mustBeAbout": 3}, {}):
+        spec = {"models": {"t": {"fields": {}, "quality": [{"type": "sql", "query": "SELECT 1", **check}]}}}
+        with pytest.raises(ValueError):
+            Contract.from_dict(spec)

@@ -270,3 +270,38 @@ def test_against_plain_python_on_random_tables(spark):
     assert found[3]["observed"] == sum(n > 1 and None not in key for key, n in pairs.items())
     assert found[4]["unexpected_count"] == sum(n for key, n in pairs.items() if key != (None, None) and n > 1)
     assert found[5]["observed"] == len([k for k in singles if k is not None])
+
+
+def test_a_bad_query_fails_alone(spark):
+    df = spark.range(4)
+    rules = [
+        r.sql_metric("dotted", "SELECT 100.0 * count(*) FROM primary", must="= 400"),
+        r.sql_metric("average", "SELECT avg(id) * 1.5 FROM primary", must="> 0"),
+        r.sql_metric("several", "SELECT id FROM primary", must=">= 0"),
+        r.contract_sql("SELECT count(*) AS n FROM primary", must_satisfy=["n = 4"]),
+        r.contract_sql("SELECT count(*) AS n FROM primary", must_satisfy=["missing = 4"]),
+        r.row_count_between(1, None),
+        r.distinct_between("id", None, 3),
+        r.row_count("< 1e+20"),
+    ]
+    found = {row["position"]: row["outcome"] for row in evaluate(df, rules).collect()}
+    assert list(dict(sorted(found.items())).values()) == ["pass", "pass", "fail", "pass", "fail", "pass", "fail", "pass"]
+    for bad in (lambda: r.contract_sql("SELECT 1"), lambda: r.row_count_between(None, None)):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_mostly_of_suites(spark):
+    df = spark.createDataFrame([(1, 1), (2, None), (3, 3), (3, 4)], "a int, b int")
+    kinds = ["expect_column_values_to_not_be_null", "expect_column_values_to_be_unique"]
+    suite = [(kinds[0], "b", 0.75), (kinds[0], "b", 0.8), (kinds[1], "a", 0.5), (kinds[1], "a", 0.6)]
+    made = {"expectations": [{"expectation_type": k, "kwargs": {"column": c, "mostly": m}} for k, c, m in suite]}
+    found = evaluate(df, rules_from_suite(made)).orderBy("position").collect()
+    assert [row["outcome"] for row in found] == ["pass", "fail", "pass", "fail"]
+
+
+def test_reference_keys_agree(spark):
+    child = spark.createDataFrame([("1",), ("x",), (None,), ("9",)], "k string")
+    parent = spark.createDataFrame([(1.0,), (2.0,)], "p double")
+    rule, tables = r.references("k", "t", "p"), {"t": parent}
+    assert evaluate(child, [rule], "c", tables).first()["unexpected_count"] == 2 == failing_rows(child, rule, tables).count()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dqspark.operators.dedup import dedup
 from dqspark.operators.violations import duplicated_rows, orphans
-from dqspark.session import clear_scratch, scratch_path, shared_dir, stored
+from dqspark.session import SHARED, clear_scratch, scratch_path, shared_dir, stored
 from dqspark.sources.readers import (
     jdbc_options,
     load_tables,
@@ -98,7 +98,31 @@ def test_missing_table(spark, tmp_path):
 def test_merge_needs_a_table_that_can(spark):
     materialize(table(spark, (1, "a")), "plain_parquet")
     with pytest.raises(Exception, match="MERGE|TABLE_OPERATION|not support"):
-        upsert(table(spark, (1, "b")), "plain_parquet", ["k"])
+        upsert(table(spark, (1, "b")), "plain_parquet", ["k"], catalog=True)
+
+
+def test_catalog_upsert_makes_its_table(spark, tmp_path):
+    ensure_namespace(spark, "fresh", str(tmp_path))
+    assert rows(upsert(table(spark, (1, "a"), (1, "b")), "fresh.made", ["k"], catalog=True)) == [(1, "a")]
+    spark.sql("DROP TABLE fresh.made")
+
+
+def test_new_columns_are_not_dropped(spark, tmp_path):
+    path, wider = str(tmp_path / "t"), table(spark, (2, "b")).withColumn("z", F.lit(7))
+    upsert(table(spark, (1, "a")), path, ["k"])
+    with pytest.raises(ValueError, match="no column z"):
+        upsert(wider, path, ["k"])
+    assert rows(upsert(wider, path, ["k"], add_columns=True)) == [(1, "a", None), (2, "b", 7)]
+    materialize(table(spark, (1, "a")), "narrow")
+    with pytest.raises(ValueError, match="no column z"):
+        insert_overwrite(wider, "narrow")
+
+
+def test_text_keys_against_numbers(spark):
+    child = spark.createDataFrame([("1",), (" 2 ",), ("x",), (None,), ("9",)], "k string")
+    parent = spark.createDataFrame([(1.0,), (2.0,), (2.0,)], "p double")
+    assert rows(orphans(child, "k", parent, "p")) == [("9",), ("x",)]
+    assert rows(orphans(parent, "p", child, "k")) == []
 
 
 def test_catalog_writes(spark):
@@ -155,20 +179,20 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
-def test_scratch_without_a_setting(spark, monkeypatch):
+def test_scratch_without_a_setting():
     class Session:
-        """A session of which only these two parts are asked."""
+        """A session of which only its settings are asked."""
 
         class conf:
-            get = staticmethod(lambda key, default: default)
-
-        class sparkContext:
-            master, applicationId = "local[2]", "app-1"
+            settings = {}
+            get = staticmethod(lambda key, default: Session.conf.settings.get(key, default))
 
-    assert shared_dir(Session) == shared_dir(Session)
-    monkeypatch.setattr(Session.sparkContext, "master", "spark://host:7077")
     with pytest.raises(ValueError):
         shared_dir(Session)
+    Session.conf.settings[SHARED] = "/own/"
+    assert shared_dir(Session) == "/own"
+    Session.conf.settings["spark.checkpoint.dir"] = "/of/the/cluster"
+    assert shared_dir(Session) == "/of/the/cluster"
 
 
 def test_scratch_can_be_cleared(spark):
@@ -182,7 +206,7 @@ def test_scratch_can_be_cleared(spark):
 
 def test_dedup_without_order_is_still_determined(spark):
     df = table(spark, (1, "b"), (1, "a"), (2, None), (2, "c"))
-    assert sorted(map(str, dedup(df, ["k"]).collect())) == ["Row(k=1, v='a')", "Row(k=2, v=None)"]
+    assert sorted(map(str, dedup(df, ["k"]).collect())) == ["Row(k=1, v='a')", "Row(k=2, v='c')"]
 
 
 def test_orphans_and_duplicates(spark):
