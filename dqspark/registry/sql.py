@@ -51,15 +51,21 @@ DIM_RATING = """dim_rating AS (SELECT user_id, product_id,
  TRY_CAST(split_part(replace(rating_count, ',', ''), '.', 1) AS BIGINT) AS rating_count FROM raw_sales)"""
 
 # The definition joins the sales as well, which repeats each rating of a product equally often.
-FACT_PRODUCT_RATING = """fact_product_rating AS (SELECT p.product_id, p.product_name,
- CAST(SUM(r.rating) AS DOUBLE) / NULLIF(COUNT(r.rating), 0) AS avg_rating
- FROM dim_product p JOIN dim_rating r ON r.product_id = p.product_id
- WHERE p.product_id IN (SELECT product_id FROM raw_sales) GROUP BY p.product_id, p.product_name)"""
-
-FACT_SALES_CATEGORY = """fact_sales_category AS (SELECT u.user_id, p.category, CAST(SUM(
- TRY_CAST(NULLIF(regexp_replace(s.actual_price, '[^0-9.]', '', 'g'), '') AS DECIMAL(10,2))) AS DECIMAL(20,2)) AS sales_amount
- FROM raw_sales s JOIN dim_product p ON s.product_id = p.product_id JOIN dim_user u ON s.user_id = u.user_id
- GROUP BY u.user_id, p.category)"""
+FACT_PRODUCT_RATING = """fact_product_rating AS (
+ WITH totals AS (SELECT product_id, SUM(rating) AS total, COUNT(rating) AS rated FROM dim_rating GROUP BY product_id),
+ names AS (SELECT DISTINCT product_id, product_name FROM dim_product)
+ SELECT product_id, product_name, CAST(total AS DOUBLE) / NULLIF(rated, 0) AS avg_rating
+ FROM totals JOIN names USING (product_id) WHERE product_id IN (SELECT product_id FROM raw_sales))"""
+
+# A product or user that has several rows in its dimension counts that often.
+FACT_SALES_CATEGORY = """fact_sales_category AS (
+ WITH prices AS (SELECT user_id, product_id,
+  TRY_CAST(NULLIF(regexp_replace(actual_price, '[^0-9.]', '', 'g'), '') AS DECIMAL(10,2)) AS price FROM raw_sales),
+ amounts AS (SELECT user_id, product_id, CAST(SUM(price) AS DECIMAL(18,2)) AS amount FROM prices GROUP BY ALL),
+ kinds AS (SELECT product_id, category, CAST(COUNT(*) AS DECIMAL(8,0)) AS times FROM dim_product GROUP BY ALL),
+ people AS (SELECT user_id, CAST(COUNT(*) AS DECIMAL(8,0)) AS often FROM dim_user GROUP BY ALL)
+ SELECT user_id, category, CAST(SUM(amount * times * often) AS DECIMAL(20,2)) AS sales_amount
+ FROM amounts JOIN kinds USING (product_id) JOIN people USING (user_id) GROUP BY ALL)"""
 
 _NEEDS = {
     "raw_sales": [RAW_SALES],

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqspark.functions.clean import is_blank
-from dqspark.operators.evaluate import evaluate, failing_rows, union_results
-from dqspark.operators.rules import between, matches, references, unique
+from dqspark.operators.contract import Contract, test_contract as run_contract
+from dqspark.operators.evaluate import CheckFailed, evaluate, failing_rows, union_results, validate
+from dqspark.operators.rules import between, matches, metric_min, not_null, references, row_count, unique
 from dqspark.operators.violations import orphans, violations_below, violations_between, violations_null
 from dqspark.plans import warehouse as w
 from dqspark.plans.rulesets import MODEL_TESTS, OBT_SCAN
@@ -150,6 +151,33 @@ def orphans_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raised_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a suite that must hold names when it raises."""
+    rules = [not_null("o_custkey"), metric_min("o_totalprice", must="> 1e9"), unique("o_custkey"), row_count("> 0")]
+    try:
+        validate(given(spark, sf_dir, "orders"), rules, raise_on_fail=True)
+        names = []
+    except CheckFailed as failed:
+        names = str(failed).split(", ")
+    return spark.createDataFrame([(name,) for name in names], "failed string")
+
+
+_BOUNDS = [
+    ("mustBe", "=", 10), ("mustNotBe", "!=", 10), ("mustBeEqualTo", "=", 1500), ("mustNotBeEqualTo", "!=", 1500),
+    ("mustBeGreaterThan", ">", 0.00001), ("mustBeGreaterThanOrEqualTo", ">=", 1e20), ("mustBeLessThan", "<", 0),
+    ("mustBeLessThanOrEqualTo", "<=", 1e20),
+]
+_COUNTED = "SELECT 100.0 * count(*) / 100 FROM customer"
+
+
+def contract_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every comparison a contract's SQL check may state, on one number."""
+    checks = [{"type": "sql", "query": _COUNTED, bound: value} for bound, _, value in _BOUNDS]
+    contract = Contract.from_dict({"models": {"customer": {"fields": {}, "quality": checks}}})
+    found = run_contract({"customer": given(spark, sf_dir, "customer")}, contract)
+    return found.select("position", "definition", "outcome")
+
+
 def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table made from a frame's schema, filled, replaced by name, and read from the catalog."""
     path = scratch_path(spark, "catalog")
@@ -292,6 +320,8 @@ QUERIES = {
         upsert_lines,
         upsert_new_column,
         orphans_text,
+        raised_rules,
+        contract_bounds,
         catalog_overwrite,
         materialized_users,
         built_users,
@@ -372,6 +402,15 @@ SELECT * FROM source UNION ALL SELECT * FROM target t WHERE NOT EXISTS (SELECT 1
  o_custkey, o_orderkey FROM orders), bad AS (SELECT custkey, o_orderkey FROM child
  WHERE o_orderkey % 7 = 0 OR o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0))
 SELECT custkey, o_orderkey, CAST(NULL AS BIGINT) AS counted FROM bad UNION ALL SELECT NULL, NULL, count(*) FROM bad""",
+    "raised_rules": """SELECT 'min(o_totalprice)' AS failed WHERE (SELECT min(o_totalprice) FROM orders) <= 1e9
+UNION ALL SELECT 'unique(o_custkey)' WHERE EXISTS (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)
+UNION ALL SELECT 'not_null(o_custkey)' WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey IS NULL)
+UNION ALL SELECT 'row_count()' WHERE NOT EXISTS (SELECT 1 FROM orders)""",
+    "contract_bounds": "\nUNION ALL ".join(
+        f"SELECT {i} AS position, '{_COUNTED} must be {sign} {value}' AS definition, "
+        f"CASE WHEN (SELECT count(*) FROM customer) {sign.replace('!=', '<>')} {value} THEN 'pass' ELSE 'fail' END AS outcome"
+        for i, (_, sign, value) in enumerate(_BOUNDS, start=1)
+    ),
     "catalog_overwrite": sql.with_tables("dim_product", "SELECT * FROM dim_product"),
     "materialized_users": sql.with_tables("dim_user", "SELECT * FROM dim_user"),
     "built_users": sql.with_tables("dim_user", sql.all_of("dim_user", TEST_CHECKS["dim_user"])),
