@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, StringType, StructType
@@ -180,6 +181,16 @@ def build(
     return raise_if_failed(results) if on_fail == "raise" else results
 
 
+def _now() -> str:
+    """The time of a run, in the form that result tables hold."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S+00:00")
+
+
+def _keep_outcomes(results: DataFrame, out: str, run_name: str, at: str) -> None:
+    stamped = results.withColumns({"run_name": F.lit(run_name), "datetime": F.lit(at)})
+    append_results(stamped, f"{out}/dq_results", "context")
+
+
 def refresh(
     spark: SparkSession,
     raw: DataFrame | str,
@@ -188,15 +199,18 @@ def refresh(
     dim_rulesets: Mapping[str, Sequence[Rule]] = DIM_RULESETS,
     fact_rulesets: Mapping[str, Sequence[Rule]] = FACT_RULESETS,
     raise_on_fail: bool = False,
+    run_name: str = "refresh",
+    multi_line: bool = False,
 ) -> DataFrame:
     """Staging, dimensions, their checks, facts, their checks. Returns the outcomes of this run.
 
     Every table is upserted below ``out`` and read back before it is used, so each later step
     scans a table and repeats no earlier work, also after the loss of executors. Outcomes are
-    appended to ``out/dq_results``, a partition per context. With ``raise_on_fail`` facts are
-    not built on dimensions that failed.
+    appended to ``out/dq_results`` with the run's name and time, a partition per context. With ``raise_on_fail``
+    facts are not built on dimensions that failed. ``multi_line`` reads a CSV whose texts have line breaks.
     """
-    rows = read_csv(spark, raw, RAW_SCHEMA) if isinstance(raw, str) else raw
+    rows = read_csv(spark, raw, RAW_SCHEMA, multi_line) if isinstance(raw, str) else raw
+    at = _now()
 
     def save(name: str, df: DataFrame) -> DataFrame:
         order, grouped = order_by if name == "stg_sales" else (), name.startswith("fact_")
@@ -205,7 +219,7 @@ def refresh(
     def check(tables: Mapping[str, DataFrame], rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame:
         outcomes = evaluate_all(tables, rulesets).collect()  # one row per rule
         results = spark.createDataFrame(outcomes, f"context string, {RESULT_SCHEMA}").coalesce(1)
-        append_results(results, f"{out}/dq_results", "context")
+        _keep_outcomes(results, out, run_name, at)
         return raise_if_failed(results) if raise_on_fail else results
 
     stg = save("stg_sales", cast_columns(rows))
@@ -236,8 +250,13 @@ def refresh_obt(
     rules: Sequence[Rule],
     name: str = "obt_sales",
     order_by: Sequence[Column] = (),
+    run_name: str = "refresh_obt",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """One big table, upserted at ``out/name``, then its checks."""
-    rows = read_csv(spark, raw, RAW_SCHEMA) if isinstance(raw, str) else raw
+    """One big table, upserted at ``out/name``, then its checks; outcomes are also kept, as ``refresh`` does."""
+    rows = read_csv(spark, raw, RAW_SCHEMA, multi_line) if isinstance(raw, str) else raw
     table = upsert(cast_columns(rows), f"{out}/{name}", KEYS["stg_sales"], order_by)
-    return evaluate(table, rules, name)
+    outcomes = evaluate(table, rules, name).collect()  # one row per rule
+    results = spark.createDataFrame(outcomes, RESULT_SCHEMA).coalesce(1)
+    _keep_outcomes(results.withColumn("context", F.lit(name)), out, run_name, _now())
+    return results

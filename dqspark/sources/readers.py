@@ -16,9 +16,11 @@ def read_csv(
 ) -> DataFrame:
     """Headered CSV. Without a schema all columns are text, so no pass over the data infers types.
 
-    ``multi_line`` keeps line breaks inside quotes, at the price of one task per file.
+    With a schema the header must have its names in its order: a file that has them otherwise raises when it is
+    read, and does not fill the wrong columns. ``multi_line`` keeps line breaks inside quotes, at the price of one
+    task per file.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=schema is None)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 

@@ -162,6 +162,22 @@ def test_build_tests_the_written_table(spark, sales):
 def test_obt_then_checks(spark, sales, tmp_path):
     results = w.refresh_obt(spark, sales, str(tmp_path), [row_count(), not_null("product_id")])
     assert {r["rule"]: r["outcome"] for r in results.collect()} == {"row_count": "pass", "not_null": "fail"}
+    kept = spark.read.parquet(f"{tmp_path}/dq_results").collect()
+    assert {(r["context"], r["run_name"], r["rule"], r["outcome"]) for r in kept} == {
+        ("obt_sales", "refresh_obt", "row_count", "pass"), ("obt_sales", "refresh_obt", "not_null", "fail")
+    }
+    assert all(re.fullmatch(r"[0-9-]{10}T[0-9:]{8}\+00:00", r["datetime"]) for r in kept)
+
+
+def test_csv_goes_by_its_header(spark, sales, tmp_path):
+    turned, broken = str(tmp_path / "turned"), str(tmp_path / "broken")
+    write_csv(sales.select(*reversed(RAW)), turned)
+    with pytest.raises(Exception, match="(?i)header"):
+        w.refresh_obt(spark, turned, str(tmp_path / "a"), [row_count()])
+    lines = sales.filter("product_id = 'P1'").limit(1).withColumn("review_content", F.lit("one\ntwo"))
+    write_csv(lines, broken)
+    w.refresh_obt(spark, broken, str(tmp_path / "b"), [row_count()], multi_line=True)
+    assert [r["review_content"] for r in read_snapshot(spark, str(tmp_path / "b/obt_sales")).collect()] == ["one\ntwo"]
 
 
 def test_results_can_be_appended(spark, sales, tmp_path):
