@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-_NUMBER = r"^[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?$"
+# Currency signs, and what else stands around a number.
+_SIGNS = "$¢£¥฿₩₪₫€₱₹₺₽%, \t\r\n"
 
 
 def parse_decimal_comma(col: Column, precision: int = 3, scale: int = 2) -> Column:
@@ -39,8 +40,8 @@ def parse_number(col: Column) -> Column:
 
     Currency signs, percent signs, thousands commas and spaces are taken off; sign and exponent count.
     """
-    bare = F.regexp_replace(col, r"[\p{Sc}%,\s]", "")
-    return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
+    bare = F.translate(col, _SIGNS, "")
+    return F.when(~bare.rlike("[^0-9.eE+-]"), bare.try_cast("double"))
 
 
 def numeric_or_null(col: Column) -> Column:
