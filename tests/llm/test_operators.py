@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -306,6 +307,28 @@ def test_decontamination(spark, docs, rows, none, benchmark):
     assert decontaminate.leaks(none, benchmark).count() == 0 == decontaminate.leaks(docs, benchmark.limit(0)).count()
 
 
+def test_passages_in_pieces(monkeypatch):
+    rng = np.random.default_rng(5)
+    codes_of = [rng.integers(0, 300, n).astype(np.int32) for n in (16, 16, 3, 16, 9, 1, 16)]
+    held = [rng.integers(-1, 300, n).astype(np.int32) for n in (0, 5, 400, 90)]
+    held += [np.concatenate([held[2][:21], c, held[3][:40]]) for c in codes_of]
+    idf = rng.random(300) + 0.1
+    space = np.vstack([rng.standard_normal((300, 8)), np.zeros((1, 8))]).astype(np.float32)
+    batch = pa.RecordBatch.from_pydict(
+        {"id": list(range(len(held))), "hash": [0] * len(held), "codes": [c.tobytes() for c in held]}
+    )
+
+    def found():
+        (out,) = decontaminate._search(codes_of, idf, space, iter([batch]))
+        return sorted(zip(*[out[n].to_pylist() for n in ("id", "passage", "share")]))
+
+    whole = found()
+    assert {(4 + i, i) for i, c in enumerate(codes_of) if len(c) > 8} <= {(d, p) for d, p, _ in whole}
+    monkeypatch.setattr(decontaminate, "SLICE", 3)
+    monkeypatch.setattr(decontaminate, "PIECE", 2)
+    assert found() == whole
+
+
 def test_lm_gradients():
     rng = np.random.default_rng(0)
     net = {k: v.astype(np.float64) for k, v in masked_lm.initial().items()}
