@@ -313,7 +313,7 @@ def test_passages_in_pieces(monkeypatch):
     held = [rng.integers(-1, 300, n).astype(np.int32) for n in (0, 5, 400, 90)]
     held += [np.concatenate([held[2][:21], c, held[3][:40]]) for c in codes_of]
     idf = rng.random(300) + 0.1
-    space = np.vstack([rng.standard_normal((300, 8)), np.zeros((1, 8))]).astype(np.float32)
+    space = np.vstack([np.diag(idf), np.zeros((1, 300))]).astype(np.float32)  # no dimension left out: true cosines
     batch = pa.RecordBatch.from_pydict(
         {"id": list(range(len(held))), "hash": [0] * len(held), "codes": [c.tobytes() for c in held]}
     )
