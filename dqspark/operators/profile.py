@@ -3,28 +3,33 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from dqspark.operators.evaluate import count_per_key
 from dqspark.operators.results import EXPECTATIONS
 
 
+def _named(name: str) -> Column:
+    """A column by its plain name, whatever dots or backticks that holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
 
 def profile(
-    df: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75), exact_distinct: bool = True
+    df: DataFrame, quantiles: Sequence[float] = (0.25, 0.5, 0.75), exact_distinct: bool | Sequence[str] = True
 ) -> DataFrame:
     """One row per column: count, nulls, range, mean, lengths, quantiles, distinct values.
 
-    Everything but the distinct counts comes from one aggregation. Exact distinct counts need
-    the values of each column shuffled once, all columns in one grouping; without
-    ``exact_distinct`` they are HyperLogLog estimates from the first pass instead.
-    Quantiles are always estimates (relative rank error 1e-4).
+    Everything but exact distinct counts comes from one aggregation. Exact counts need the values of a column
+    shuffled once; ``exact_distinct`` names the columns that have them, all by default, and the others get
+    HyperLogLog estimates (relative deviation 0.05) from the first pass. Quantiles are always estimates (relative
+    rank error 1e-4). The input is read twice if any count is exact: store one that is costly to derive.
     """
+    exact = [f.name for f in df.schema.fields if exact_distinct is True or exact_distinct and f.name in exact_distinct]
     aggregates, rows = [F.count(F.lit(1)).alias("rows")], []
     for i, f in enumerate(df.schema.fields):
-        c, numeric, text = F.col(f"`{f.name}`"), isinstance(f.dataType, NumericType), isinstance(f.dataType, StringType)
+        c, numeric, text = _named(f.name), isinstance(f.dataType, NumericType), isinstance(f.dataType, StringType)
         value = c.cast("double")
         seen = {
             "count": F.count(c),
@@ -34,7 +39,7 @@ def profile(
             "min_length": F.min(F.length(c)).cast("bigint") if text else None,
             "max_length": F.max(F.length(c)).cast("bigint") if text else None,
             "quantiles": F.percentile_approx(value, list(quantiles), 10000) if numeric and quantiles else None,
-            "distinct": None if exact_distinct else F.approx_count_distinct(c),
+            "distinct": None if f.name in exact else F.approx_count_distinct(c),
         }
         aggregates += [e.alias(f"{k}_{i}") for k, e in seen.items() if e is not None]
 
@@ -51,34 +56,26 @@ def profile(
             *[got(k, "bigint") for k in ("min_length", "max_length")],
             got("quantiles", "array<double>"),
         ]
-        if not exact_distinct:
-            fields.append(got("distinct", "bigint"))
-        rows.append(F.struct(*fields))
+        rows.append(F.struct(*fields, got("distinct", "bigint")))
     columns = df.agg(*aggregates).select(F.inline(F.array(*rows)))
-    return columns.join(distinct_counts(df), "column") if exact_distinct else columns
+    if not exact:
+        return columns
+    counted = distinct_counts(df, exact).withColumnRenamed("distinct", "counted")
+    joined = columns.join(counted, "column", "left")
+    return joined.withColumn("distinct", F.coalesce("distinct", "counted")).drop("counted")
 
 
-def distinct_counts(df: DataFrame, batch: int = 8) -> DataFrame:
-    """Exact number of distinct non-NULL values of every column, some columns to a pass.
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Exact number of distinct non-NULL values of the columns, all by default, as ``column`` and ``distinct``.
 
-    More columns in a pass mean fewer scans but wider rows in the grouping.
+    Each column is a grouping of its own, so no row carries more than one value: a scan reads that column alone,
+    all scans together read the table once, and values are combined on the map side before the shuffle.
     """
-    parts = None
-    for start in range(0, len(df.columns), batch):
-        names = df.columns[start : start + batch]
-        counted, keys = count_per_key(df, [(c,) for c in names])
-        sums = counted.agg(
-            *[
-                F.count_if((F.col("key_set") == number) & F.col(key).isNotNull()).alias(f"d{i}")
-                for i, ((key,), number) in enumerate(keys[(c,)] for c in names)
-            ]
-        )
-        rows = [
-            F.struct(F.lit(c).alias("column"), F.col(f"d{i}").alias("distinct")) for i, c in enumerate(names)
-        ]
-        part = sums.select(F.inline(F.array(*rows)))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    parts = [
+        df.agg(F.count_distinct(_named(c)).alias("distinct")).select(F.lit(c).alias("column"), "distinct")
+        for c in (df.columns if columns is None else columns)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def suite_from_profile(profiled: DataFrame) -> dict:

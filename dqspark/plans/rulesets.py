@@ -36,30 +36,14 @@ from dqspark.operators.rules import (
     uniqueness,
 )
 from dqspark.operators.suites import rules_from_suite
-
-DIM_PRODUCT = ["product_id", "product_name", "category", "about_product", "img_link", "product_link"]
-DIM_USER = ["user_id", "user_name"]
-DIM_RATING = ["user_id", "product_id", "rating", "rating_count"]
-FACT_PRODUCT_RATING = ["product_id", "product_name", "avg_rating"]
-FACT_SALES_CATEGORY = ["user_id", "category", "sales_amount"]
-SALES = [
-    "product_id",
-    "product_name",
-    "category",
-    "discounted_price",
-    "actual_price",
-    "discount_percentage",
-    "rating",
-    "rating_count",
-    "about_product",
-    "user_id",
-    "user_name",
-    "review_id",
-    "review_title",
-    "review_content",
-    "img_link",
-    "product_link",
-]
+from dqspark.plans.columns import (
+    DIM_PRODUCT,
+    DIM_RATING,
+    DIM_USER,
+    FACT_PRODUCT_RATING,
+    FACT_SALES_CATEGORY,
+    SALES_TYPES,
+)
 
 # ------------------------------------------------------------------ rulesets run by the refresh
 
@@ -173,7 +157,7 @@ SUITE_DICTS: dict[str, dict] = {
 SUITES: dict[str, list[Rule]] = {name: rules_from_suite(suite) for name, suite in SUITE_DICTS.items()}
 
 OBT_SUITE: list[Rule] = [
-    columns_ordered(SALES),
+    columns_ordered(list(SALES_TYPES)),
     unique("product_id"),
     not_null("product_id"),
     between("discount_percentage", 0, 100),
@@ -264,7 +248,7 @@ FACT_SCANS: dict[str, list[Rule]] = {
 }
 
 OBT_SCAN: list[Rule] = [
-    required_columns(SALES),
+    required_columns(list(SALES_TYPES)),
     missing("product_id", fail="> 0"),
     missing("product_name", fail="> 0"),
     duplicate_count(["product_id"], warn="> 0"),

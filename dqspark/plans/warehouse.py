@@ -13,31 +13,12 @@ from dqspark.operators.dedup import dedup
 from dqspark.operators.evaluate import RESULT_SCHEMA, evaluate, evaluate_all, raise_if_failed
 from dqspark.operators.joins import join_reduced
 from dqspark.operators.rules import Rule
+from dqspark.plans.columns import DIM_PRODUCT, SALES_TYPES
 from dqspark.plans.rulesets import DIM_RULESETS, FACT_RULESETS
 from dqspark.session import together
 from dqspark.sources.readers import read_csv
 from dqspark.sources.writers import append_results, materialize, upsert
 
-# The columns of the sales file with their staged types.
-SALES_TYPES = {
-    "product_id": "string",
-    "product_name": "string",
-    "category": "string",
-    "discounted_price": "double",
-    "actual_price": "double",
-    "discount_percentage": "double",
-    "rating": "double",
-    "rating_count": "int",
-    "about_product": "string",
-    "user_id": "string",
-    "user_name": "string",
-    "review_id": "string",
-    "review_title": "string",
-    "review_content": "string",
-    "img_link": "string",
-    "product_link": "string",
-}
-
 # The key of every table. A grouped fact is keyed by its whole grain.
 KEYS = {
     "stg_sales": ("product_id",),
@@ -48,8 +29,6 @@ KEYS = {
     "fact_sales_category": ("user_id", "category"),
 }
 
-PRODUCT_COLUMNS = ("product_id", "product_name", "category", "about_product", "img_link", "product_link")
-
 # The raw file as text; numbers are read from it in ``cast_columns``.
 RAW_SCHEMA = StructType()
 for _name in SALES_TYPES:
@@ -95,7 +74,7 @@ def build_obt(raw: DataFrame, order_by: Sequence[Column] = ()) -> DataFrame:
 
 
 def dim_product(stg: DataFrame) -> DataFrame:
-    return stg.select(*PRODUCT_COLUMNS).distinct()
+    return stg.select(*DIM_PRODUCT).distinct()
 
 
 def dim_user(stg: DataFrame) -> DataFrame:
@@ -225,7 +204,7 @@ def refresh(
     stg = save("stg_sales", cast_columns(rows))
     tables = together(
         {
-            "dim_product": lambda: save("dim_product", stg.select(*PRODUCT_COLUMNS)),
+            "dim_product": lambda: save("dim_product", stg.select(*DIM_PRODUCT)),
             "dim_user": lambda: save("dim_user", stg.select("user_id", "user_name")),
             "dim_rating": lambda: save("dim_rating", dim_rating(stg)),
         }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dqspark.operators import rules as r
 from dqspark.operators.evaluate import evaluate
-from dqspark.plans.rulesets import SALES
+from dqspark.plans.columns import SALES_TYPES
 from dqspark.plans.warehouse import cast_columns
 from dqspark.registry import sql
 from dqspark.registry.results import OUTCOME_COLUMNS
@@ -25,9 +25,9 @@ CASES: dict[str, tuple[str, list[r.Rule], list[sql.Check]]] = {
             r.column_exists("product_id"),
             r.column_exists("no_such_column"),
             r.required_columns(["product_id", "user_id", "no_such_column"]),
-            r.columns_ordered(SALES),
-            r.columns_ordered(list(reversed(SALES))),
-            r.columns_set(list(reversed(SALES))),
+            r.columns_ordered(list(SALES_TYPES)),
+            r.columns_ordered(list(reversed(SALES_TYPES))),
+            r.columns_set(list(reversed(SALES_TYPES))),
             r.column_count(16),
             r.column_count(15),
             r.of_type("rating_count", "IntegerType"),

@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dqspark.operators.contract import contract_from_draft, test_contract
 from dqspark.operators.evaluate import evaluate
-from dqspark.operators.profile import contract_from_tables, profile, suite_from_profile
+from dqspark.operators.profile import contract_from_tables, distinct_counts, profile, suite_from_profile
 from dqspark.operators.suites import load_suite, rules_from_suite, save_suite
+from dqspark.plans.columns import SALES_TYPES
 from dqspark.registry import sql
-from dqspark.session import scratch_path
+from dqspark.session import scratch_path, stored
 from dqspark.registry.inputs import given, raw_sales
 
 _SHOWN = ("position", "column", "type", "count", "nulls", "distinct", "min", "max", "min_length", "max_length")
@@ -24,13 +25,41 @@ def profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profile(raw_sales(spark, sf_dir))
+    return _profile(stored(raw_sales(spark, sf_dir), "sales"))
+
+
+_QUARTILES = (0.25, 0.5, 0.75)
 
 
 def profile_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Estimates: quartiles of numbers and, instead of exact ones, distinct counts."""
-    return profile(given(spark, sf_dir, "lineitem"), exact_distinct=False).select(
-        "column", "distinct", "quantiles"
+    """Estimates, held against the whole table: a row for each column and quartile of numbers.
+
+    ``rank_near`` says whether the ranks that the estimate has among the values come within 1e-4 of the quartile,
+    ``distinct_near`` whether the estimated distinct count is within three deviations of the exact one.
+    """
+    line = given(spark, sf_dir, "lineitem")
+    found = profile(line, _QUARTILES, exact_distinct=False).select("column", "quantiles", F.col("distinct").alias("estimated"))
+    numbers = [c for c, t in _LINEITEM.items() if t in ("int", "bigint", "double")]
+    values = line.select(*[F.col(c).cast("double") for c in numbers]).unpivot([], numbers, "column", "value")
+    # Estimates are a row per column: values are counted below and up to each of them before any shuffle of values.
+    ranks = values.filter("value IS NOT NULL").join(F.broadcast(found.select("column", "quantiles")), "column")
+    counts = [
+        F.array(*[F.count_if(F.col("value") < F.col("quantiles")[i]) for i in range(3)]).alias("below"),
+        F.array(*[F.count_if(F.col("value") <= F.col("quantiles")[i]) for i in range(3)]).alias("upto"),
+        F.count(F.lit(1)).alias("n"),
+    ]
+    ranks = ranks.groupBy("column").agg(*counts)
+    both = found.join(distinct_counts(line), "column").join(ranks, "column", "left")
+    quartiles = F.when(F.col("quantiles").isNotNull(), F.array(*[F.lit(q) for q in _QUARTILES]))
+    rows = both.select("*", F.posexplode_outer(quartiles).alias("i", "quantile"))
+    lowest, highest = (F.get(c, F.col("i")) + F.lit(sign) * (1e-4 * F.col("n") + 1) for c, sign in (("below", -1), ("upto", 1)))
+    return rows.select(
+        "column",
+        "quantile",
+        F.col("n").alias("values"),
+        (F.col("quantile") * F.col("n")).between(lowest, highest).alias("rank_near"),
+        "distinct",
+        (F.abs(F.col("estimated") - F.col("distinct")) <= 0.15 * F.col("distinct")).alias("distinct_near"),
     )
 
 
@@ -81,13 +110,7 @@ _LINEITEM = {
     "l_linestatus": "string",
     "l_shipdate": "timestamp_ntz",
 }
-_SALES = dict.fromkeys(
-    (
-        "product_id product_name category discounted_price actual_price discount_percentage rating rating_count "
-        "about_product user_id user_name review_id review_title review_content img_link product_link"
-    ).split(),
-    "string",
-)
+_SALES = dict.fromkeys(SALES_TYPES, "string")
 _PART = {
     "p_partkey": "bigint",
     "p_name": "string",
@@ -129,6 +152,20 @@ def _profile_sql(table: str, types: dict[str, str]) -> str:
     return "\nUNION ALL ".join(selects)
 
 
+def _quantiles_sql() -> str:
+    selects = []
+    for c, t in _LINEITEM.items():
+        numeric = t in ("int", "bigint", "double")
+        for q in _QUARTILES if numeric else ("NULL",):
+            selects.append(
+                f"SELECT '{c}' AS \"column\", CAST({q} AS DOUBLE) AS quantile, "
+                f"CAST({f'count({c})' if numeric else 'NULL'} AS BIGINT) AS \"values\", "
+                f"CAST({'true' if numeric else 'NULL'} AS BOOLEAN) AS rank_near, "
+                f"count(DISTINCT {c}) AS \"distinct\", true AS distinct_near FROM lineitem"
+            )
+    return "\nUNION ALL ".join(selects)
+
+
 def _part_suite_sql() -> str:
     selects = []
     for c, t in _PART.items():
@@ -173,6 +210,7 @@ def _draft_outcomes_sql() -> str:
 ORACLES = {
     "contract_of_draft": _draft_outcomes_sql(),
     "profile_lineitem": _profile_sql("lineitem", _LINEITEM),
+    "profile_quantiles": _quantiles_sql(),
     "profile_sales": sql.with_tables("raw_sales", _profile_sql("raw_sales", _SALES)),
     "suite_from_part": _part_suite_sql(),
     "contract_draft": _draft_sql(),

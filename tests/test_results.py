@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from dqspark.operators import rules as r
 from dqspark.operators.contract import Contract, contract_from_draft, test_contract as run_contract
 from dqspark.operators.evaluate import evaluate, failing_rows
-from dqspark.operators.profile import contract_from_tables, profile, suite_from_profile
+from dqspark.operators.profile import contract_from_tables, distinct_counts, profile, suite_from_profile
 from dqspark.operators.results import scan_results, suite_results
 from dqspark.operators.suites import load_suite, rules_from_suite, save_suite
 from dqspark.plans import monitor as m
@@ -53,6 +54,23 @@ def test_profile_becomes_rules_that_hold(numbers):
     assert "fail" in {row["outcome"] for row in evaluate(worse, rules).collect()}
 
 
+def test_profile_of_awkward_columns(spark):
+    rows = [(1, 0.0, b"x", [1]), (1, -0.0, b"x", [1]), (2, float("nan"), None, [2, None]), (None, float("nan"), b"y", None)]
+    df = spark.createDataFrame(rows, "`a.b` int, `c``d` double, bytes binary, list array<int>")
+    found = {row["column"]: row["distinct"] for row in profile(df).collect()}
+    assert found == {"a.b": 2, "c`d": 2, "bytes": 2, "list": 2}
+    some = {row["column"]: row["distinct"] for row in profile(df, exact_distinct=["bytes"]).collect()}
+    assert some["bytes"] == 2 and set(some) == set(found) and None not in some.values()
+
+
+def test_distinct_counts_carry_one_value_a_row(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    plan = distinct_counts(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+    assert len(schemas) == len(df.columns) and not any("," in s for s in schemas)
+
+
 def test_profile_of_an_empty_table(spark):
     empty = spark.createDataFrame([], "id int, s string")
     assert [row["count"] for row in profile(empty).collect()] == [0, 0]
