@@ -375,6 +375,18 @@ def test_lm_uses_both_sides(spark):
     assert max(mean[i] for i in range(1500, 1520)) < -math.log(n)
 
 
+def test_lm_tells_rare_words_apart(spark):
+    """Words outside the vocabulary, of one shape in the same place: their scores differ as their counts do."""
+    common = [f"c{i}" for i in range(masked_lm.WORDS)]
+    rare = [f"rare{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    texts = [" ".join(common * 20)] + [f"c1 c2 {w} c3 c4" for i, w in enumerate(rare) for _ in range(1 + i % 7)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    found = {r.id: r.log_likelihood for r in masked_lm.scores(frame).collect()}
+    counts = Counter(t.split()[2] for t in texts[1:])
+    apart = [found[i] - math.log(counts[texts[i].split()[2]]) for i in range(1, len(texts))]
+    assert len(found) == len(texts) and max(apart) - min(apart) < 1e-4
+
+
 def test_secrets(spark, sf_dir, docs, none):
     larger = spark.read.parquet(f"{sf_dir.rsplit('/', 1)[0]}/sf0.01/documents.parquet")
     docs = docs.select(*larger.columns).filter("doc_id > 9000 OR doc_id IS NULL").union(larger)
