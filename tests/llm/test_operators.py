@@ -329,6 +329,35 @@ def test_passages_in_pieces(monkeypatch):
     assert found() == whole
 
 
+def test_passages_far_in_the_latent_space():
+    """Hosts made of the benchmark's own words, few dimensions: what is found is what brute force finds."""
+    rng = np.random.default_rng(8)
+    codes_of = [rng.integers(0, 400, n).astype(np.int32) for n in (16, 16, 12, 9, 16, 5, 16, 16, 7, 16) * 4]
+    idf = np.where(np.arange(400) < 40, 0, rng.random(400) + 0.1)
+    space = np.vstack([rng.standard_normal((400, 2)) * idf[:, None], np.zeros((1, 2))]).astype(np.float32)
+    held = []
+    for c in codes_of:
+        for share in (0, 0.15, 0.45):
+            answer = np.isin(c, decontaminate._answers(c, idf))
+            changed = np.where(~answer & (rng.random(len(c)) < share), rng.integers(0, 400, len(c)), c).astype(np.int32)
+            held.append(np.concatenate([rng.integers(0, 400, rng.integers(0, 50)), changed, rng.integers(0, 400, 60)]).astype(np.int32))
+    batch = pa.RecordBatch.from_pydict(
+        {"id": list(range(len(held))), "hash": [0] * len(held), "codes": [h.tobytes() for h in held]}
+    )
+    (out,) = decontaminate._search(codes_of, idf, space, iter([batch]))
+    found = dict(zip(zip(out["id"].to_pylist(), out["passage"].to_pylist()), out["share"].to_pylist()))
+    wanted = {}
+    for d, h in enumerate(held):
+        for start in range(0, len(h), decontaminate.PASSAGE):
+            window = h[start : start + 2 * decontaminate.PASSAGE].tolist()
+            for p, c in enumerate(codes_of):
+                share = decontaminate.common_subsequence(c.tolist(), window) / len(c)
+                answered = set(decontaminate._answers(c, idf).tolist()) <= set(window)
+                if share >= decontaminate.COPY or answered and share >= decontaminate.PARAPHRASE:
+                    wanted[d, p] = max(share, wanted.get((d, p), 0))
+    assert found == wanted and len(wanted) >= 2 * len(codes_of)
+
+
 def test_lm_gradients():
     rng = np.random.default_rng(0)
     net = {k: v.astype(np.float64) for k, v in masked_lm.initial().items()}
