@@ -20,7 +20,11 @@ BEFORE, AFTER = 40, 20
 DICTIONARY, LETTERS, SAMPLE, TREES, DEPTH = 1000, (4, 12), 20_000, 24, 6
 
 _CREDENTIAL = "token|secret|passw|pwd|api.?key|auth|credential|bearer|private"
-_PLACEHOLDER = "example|sample|dummy|test|placeholder|redacted|xxxx"
+_WORD = "(?:example|sample|dummy|test|placeholder|redacted)"
+_PLACEHOLDER = f"(?<![a-z]){_WORD}(?![a-z])|xxxx"
+#: What is no secret: values that such a name or an address precedes, and identifiers of this form.
+_PUBLIC = "(?:sha-?[0-9]+|md5|checksum|digest|hash|commit|etag|uuid|guid)[\"']?\\s*[:=]?\\s*[\"']?$|://\\S*$"
+_UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 FEATURES = (
     "length distinct switches digits upper hexadecimal longest_run dictionary path_depth path_test credential assigned "
     "quoted placeholder"
@@ -34,9 +38,23 @@ def dictionary(docs: DataFrame, text: str = "text", words: int = DICTIONARY) ->
     return [r["word"] for r in fit.orderBy(F.desc("count"), "word").limit(words).collect()]
 
 
-def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = "source") -> DataFrame:
+def _mixed(value: Column) -> Column:
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+
+
+def _placeholder() -> Column:
+    """Whether the value says that it is none, or such a word stands directly beside it."""
+    beside = F.lower("before").rlike(f"(?<![^\\s\"'(]){_WORD}[\\s\"'(]*$") | F.lower("after").rlike(f"^[\\s\"')]*{_WORD}(?![^\\s\"'),;])")
+    return F.lower("value").rlike(_PLACEHOLDER) | beside
+
+
+def candidates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = "source", every: bool = False
+) -> DataFrame:
     """``(id, path, start, end, before, value, after)`` per candidate: a run of key signs with a digit and a letter.
 
+    With ``every`` also the runs without one of these, from which no secret is proposed but can be learnt.
+
     Start and end count code points, the end is exclusive. Null texts have none. Each text is cut once at its
     candidates; their places are running sums over the pieces.
     """
@@ -57,7 +75,7 @@ def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text", path: st
 
     starts = F.aggregate(F.sequence(F.lit(0), F.size("found") - 1), start, step, lambda s: s["starts"])
     spans = F.arrays_zip(starts.alias("start"), F.col("found").alias("value"))
-    spans = F.filter(spans, lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+    spans = spans if every else F.filter(spans, lambda s: _mixed(s["value"]))
     return (
         found.withColumn("spans", spans)
         .withColumn("span", F.explode("spans"))
@@ -96,7 +114,7 @@ def measured(found: DataFrame, words: list[str]) -> DataFrame:
         "credential": flag(before.rlike(_CREDENTIAL)),
         "assigned": flag(before.rlike("[:=]\\s*[\"']?$")),
         "quoted": flag(before.rlike("[\"']$") & F.col("after").rlike("^[\"']")),
-        "placeholder": flag(F.concat(before, F.lower("after"), F.lower(value)).rlike(_PLACEHOLDER)),
+        "placeholder": flag(_placeholder()),
     }
     return found.withColumns(made)
 
@@ -130,12 +148,14 @@ def judged(found: DataFrame, model: RandomForestClassificationModel | float, lea
 
 
 def seeds(found: DataFrame) -> DataFrame:
-    """Findings with a label where none were given: 1 for a value assigned to a credential's name and no placeholder,
-    0 for numbers, and for runs that no sign of assignment precedes; null where neither is certain."""
-    named = F.lower("before").rlike(f"(?:{_CREDENTIAL})[a-z_]*[\"']?\\s*[:=]\\s*[\"']?$")
-    placeholder = F.concat(F.lower("before"), F.lower("value")).rlike(_PLACEHOLDER)
-    free = ~F.col("before").rlike("[:=]\\s*[\"']?$")
-    return found.withColumn("label", F.when(named & ~placeholder, 1.0).when(free | placeholder, 0.0))
+    """Findings with a label where none were given: 1 for a mixed value assigned to a credential's name and no
+    placeholder; 0 for placeholders, named hashes, parts of addresses, UUIDs, and runs without a digit or a letter that
+    no such name precedes; null where neither is certain."""
+    before = F.lower("before")
+    named = before.rlike(f"(?:{_CREDENTIAL})[a-z_]*[\"']?\\s*[:=]\\s*[\"']?$")
+    mixed, public = _mixed(F.col("value")), before.rlike(_PUBLIC) | F.lower("value").rlike(_UUID)
+    label = F.when(_placeholder(), 0.0).when(named & mixed, 1.0).when(~named & (public | ~mixed), 0.0)
+    return found.withColumn("label", label)
 
 
 def scan(
@@ -155,11 +175,11 @@ def scan(
     Null and empty texts have no candidates; null ids and paths are kept, a null id is never learnt from;
     repeated rows give repeated findings. No rows, or no labels, give what the prior says of each candidate.
     """
-    found = stored(measured(candidates(docs, id, text, path), dictionary(docs, text)), "candidates")
+    found = stored(measured(candidates(docs, id, text, path, every=True), dictionary(docs, text)), "candidates")
     if labelled is None:
         known = seeds(found)
     else:
         names = ["id", "start", "end"]
         known = found.join(labelled.select(*names, F.col("label").cast("double")).dropDuplicates(names), names)
     learnt = known.filter("label IN (0.0, 1.0) AND crc32(CAST(CAST(id AS STRING) AS BINARY)) % 5 != 0")
-    return judged(found, train(learnt), least).select("id", "start", "end", "value", "score", "secret")
+    return judged(found.filter(_mixed(F.col("value"))), train(learnt), least).select("id", "start", "end", "value", "score", "secret")

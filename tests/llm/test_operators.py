@@ -427,6 +427,21 @@ def test_secrets(spark, sf_dir, docs, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_secrets_seeds(spark):
+    """Words near a secret do not make it a placeholder; runs that are no keys are there to learn from."""
+    key = "269b58ed0c1f4a7e93d2b6a8f05c7d1e4b3a2960"
+    texts = [f'a@mail6.example.com token = "{key}"', f'Asanstestion it token = "{key}"', 'token = "example-key-12345678"',
+             f"commit {key}", f"some {key} there", "a line ====================", "internationalization-of-all"]
+    docs = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = secrets.measured(secrets.candidates(docs, every=True), [])
+    assert {r.id: r.label for r in secrets.seeds(found).collect()} == dict(enumerate([1, 1, 0, 0, None, 0, 0]))
+    assert {r.id for r in secrets.scan(docs).collect()} == {0, 1, 2, 3, 4}
+    many = [(i, f'the token = "{key[i % 9:]}{i}"' if i % 2 else "a line ====================", "src") for i in range(80)]
+    many += [(100 + i, f"commit {key}", "src") for i in range(40)]
+    judged = secrets.scan(spark.createDataFrame(many, "doc_id long, text string, source string")).collect()
+    assert len(judged) == 80 and all(r.secret == (r.id < 100) for r in judged)
+
+
 def test_secrets_from_given_labels(spark):
     rng = np.random.default_rng(3)
     rows, labels = [], []
