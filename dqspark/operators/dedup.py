@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from dqspark.operators.names import quoted, unlike
+
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()) -> DataFrame:
     """Keep the first row of every key under ``order_by``.
@@ -14,6 +16,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()) -
     depend on the layout of the data. Spark keeps only the first row per key of each input partition before
     the shuffle (WindowGroupLimit), hence a key holding much of the table is no hot spot.
     """
-    rest = [F.col(c).asc_nulls_last() for c in sorted(df.columns) if c not in keys]
-    window = Window.partitionBy(*keys).orderBy(*(list(order_by) + rest or [F.lit(1)]))
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    rest = [quoted(c).asc_nulls_last() for c in sorted(df.columns) if c not in keys]
+    window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*(list(order_by) + rest or [F.lit(1)]))
+    rank = unlike(df.columns, "_rank")
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) == 1).drop(rank)

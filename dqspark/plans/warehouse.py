@@ -160,12 +160,12 @@ def build(
     return raise_if_failed(results) if on_fail == "raise" else results
 
 
-def _now() -> str:
+def now() -> str:
     """The time of a run, in the form that result tables hold."""
     return datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%S+00:00")
 
 
-def _keep_outcomes(results: DataFrame, out: str, run_name: str, at: str) -> None:
+def keep_outcomes(results: DataFrame, out: str, run_name: str, at: str) -> None:
     stamped = results.withColumns({"run_name": F.lit(run_name), "datetime": F.lit(at)})
     append_results(stamped, f"{out}/dq_results", "context")
 
@@ -189,7 +189,7 @@ def refresh(
     facts are not built on dimensions that failed. ``multi_line`` reads a CSV whose texts have line breaks.
     """
     rows = read_csv(spark, raw, RAW_SCHEMA, multi_line) if isinstance(raw, str) else raw
-    at = _now()
+    at = now()
 
     def save(name: str, df: DataFrame) -> DataFrame:
         order, grouped = order_by if name == "stg_sales" else (), name.startswith("fact_")
@@ -198,7 +198,7 @@ def refresh(
     def check(tables: Mapping[str, DataFrame], rulesets: Mapping[str, Sequence[Rule]]) -> DataFrame:
         outcomes = evaluate_all(tables, rulesets).collect()  # one row per rule
         results = spark.createDataFrame(outcomes, f"context string, {RESULT_SCHEMA}").coalesce(1)
-        _keep_outcomes(results, out, run_name, at)
+        keep_outcomes(results, out, run_name, at)
         return raise_if_failed(results) if raise_on_fail else results
 
     stg = save("stg_sales", cast_columns(rows))
@@ -237,5 +237,5 @@ def refresh_obt(
     table = upsert(cast_columns(rows), f"{out}/{name}", KEYS["stg_sales"], order_by)
     outcomes = evaluate(table, rules, name).collect()  # one row per rule
     results = spark.createDataFrame(outcomes, RESULT_SCHEMA).coalesce(1)
-    _keep_outcomes(results.withColumn("context", F.lit(name)), out, run_name, _now())
+    keep_outcomes(results.withColumn("context", F.lit(name)), out, run_name, now())
     return results

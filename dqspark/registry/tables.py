@@ -10,11 +10,13 @@ from dqspark.operators.evaluate import CheckFailed, evaluate, failing_rows, unio
 from dqspark.operators.rules import between, matches, metric_min, not_null, references, row_count, unique
 from dqspark.operators.violations import orphans, violations_below, violations_between, violations_null
 from dqspark.plans import warehouse as w
+from dqspark.plans.changes import refresh_changes
 from dqspark.plans.rulesets import MODEL_TESTS, OBT_SCAN
 from dqspark.registry import sql
 from dqspark.registry.results import OUTCOME_COLUMNS
 from dqspark.registry.suites import OBT_SCAN_CHECKS, RULESET_CHECKS, TEST_CHECKS
-from dqspark.session import scratch_path
+from dqspark.session import scratch_path, stored
+from dqspark.sources.buckets import upsert_buckets
 from dqspark.sources.readers import (
     load_tables,
     read_catalog,
@@ -129,6 +131,26 @@ def upsert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(lines.filter("l_quantity <= 30"), path, keys, dearest)
 
 
+def upsert_buckets_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into a table kept in hash buckets of the order."""
+    lines = given(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"
+    )
+    path, keys = scratch_path(spark, "lines"), ["l_orderkey", "l_linenumber"]
+    dearest, by = [F.desc("l_extendedprice")], ["l_orderkey"]
+    upsert_buckets(lines.filter("l_quantity >= 25").withColumn("l_quantity", F.lit(0.0)), path, keys, dearest, by, buckets=8)
+    return upsert_buckets(lines.filter("l_quantity <= 30"), path, keys, dearest, by).table
+
+
+def upsert_kept_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished orders are the table; all orders arrive without status and date, which the finished ones keep."""
+    orders = given(spark, sf_dir, "orders")
+    path = scratch_path(spark, "orders")
+    upsert_buckets(orders.filter("o_orderstatus = 'F'"), path, ["o_orderkey"], buckets=8)
+    dearer = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1).drop("o_orderstatus", "o_orderdate")
+    return upsert_buckets(dearer, path, ["o_orderkey"]).table
+
+
 def upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source that has gained a column: open orders arrive with one, and finished ones have none."""
     orders, path = given(spark, sf_dir, "orders"), scratch_path(spark, "orders")
@@ -237,6 +259,19 @@ def refreshed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{out}/fact_sales_category", "snapshot")
 
 
+#: Orders of these priorities come as the first increment, all others as the second.
+_FIRST = ("1-URGENT", "2-HIGH")
+
+
+def refreshed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales per user and category kept up to date by change sets: some priorities first, then the others."""
+    out, raw = scratch_path(spark, "warehouse"), stored(raw_sales(spark, sf_dir), "raw-sales")
+    first = F.coalesce(F.col("review_title").isin(*_FIRST), F.lit(False))
+    for increment in (raw.filter(first), raw.filter(~first)):
+        refresh_changes(spark, increment, out, last_review(), buckets=8, check=False)
+    return read_table(spark, f"{out}/fact_sales_category", "buckets")
+
+
 def obt_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One big table as a written table, then its scan."""
     out = scratch_path(spark, "obt")
@@ -319,6 +354,8 @@ QUERIES = {
         upsert_orders,
         upsert_lines,
         upsert_new_column,
+        upsert_buckets_lines,
+        upsert_kept_columns,
         orphans_text,
         raised_rules,
         contract_bounds,
@@ -329,6 +366,7 @@ QUERIES = {
         warehouse_refresh,
         obt_refresh,
         refreshed_sales,
+        refreshed_changes,
         blank_names,
         sales_outliers,
         sales_without_category,
@@ -362,7 +400,41 @@ _REFRESHED = ",\n".join(
     ]
 ).replace(" AS (", " AS MATERIALIZED (")
 
+_FIRST_ROWS = f"coalesce(review_title IN {_FIRST}, false)"
+
+
+def _increment(name: str, condition: str) -> str:
+    return sql.OBT_SALES.replace("obt_sales AS", f"{name} AS").replace("FROM stg_sales", f"FROM stg_sales WHERE {condition}")
+
+
+def _sales_of(name: str, table: str) -> str:
+    return (
+        f"{name} AS (SELECT user_id, category, CAST(sum(CAST(actual_price AS DECIMAL(10,2))) AS DECIMAL(20,2)) "
+        f"AS sales_amount FROM {table} GROUP BY user_id, category)"
+    )
+
+
+# Staged rows after each increment, the sales they give, and what the second left of the first's.
+_CHANGED = ",\n".join(
+    [
+        sql.RAW_SALES,
+        sql.STG_SALES,
+        _increment("before_rows", _FIRST_ROWS),
+        _increment("increment_rows", f"NOT {_FIRST_ROWS}"),
+        "after_rows AS (SELECT * FROM increment_rows UNION ALL SELECT * FROM before_rows "
+        "WHERE product_id NOT IN (SELECT product_id FROM increment_rows))",
+        _sales_of("before_sales", "before_rows"),
+        _sales_of("after_sales", "after_rows"),
+    ]
+).replace(" AS (", " AS MATERIALIZED (")
+
 ORACLES = {
+    "refreshed_changes": f"""WITH {_CHANGED}
+SELECT * FROM after_sales UNION ALL SELECT * FROM before_sales b WHERE NOT EXISTS (SELECT 1 FROM after_sales a
+ WHERE a.user_id = b.user_id AND a.category IS NOT DISTINCT FROM b.category)""",
+    "upsert_kept_columns": """SELECT * REPLACE (o_totalprice + 1 AS o_totalprice,
+ CASE WHEN o_orderstatus = 'F' THEN o_orderstatus END AS o_orderstatus,
+ CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS o_orderdate) FROM orders""",
     "stg_sales": sql.with_tables("stg_sales", "SELECT * FROM stg_sales"),
     "csv_stage": sql.with_tables("stg_sales", "SELECT * FROM stg_sales"),
     "stg_sales_dedup": sql.with_tables("obt_sales", "SELECT * FROM obt_sales"),
@@ -455,3 +527,4 @@ WHERE l_discount < CAST(0.02 AS DOUBLE) OR l_discount > CAST(0.08 AS DOUBLE)""",
         "QUALIFY count(*) OVER (PARTITION BY review_id) > 1",
     ),
 }
+ORACLES["upsert_buckets_lines"] = ORACLES["upsert_lines"]

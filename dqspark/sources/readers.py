@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from dqspark.sources.buckets import read_buckets
 from dqspark.sources.files import child_folders
 from dqspark.sources.snapshots import read_snapshot
 
@@ -25,8 +26,9 @@ def read_csv(
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A table folder: of any format Spark reads, or ``snapshot`` for tables that are upserted."""
-    return read_snapshot(spark, path) if fmt == "snapshot" else spark.read.format(fmt).load(path)
+    """A table folder: of any format Spark reads, or ``snapshot`` or ``buckets`` for tables that are upserted."""
+    own = {"snapshot": read_snapshot, "buckets": read_buckets}
+    return own[fmt](spark, path) if fmt in own else spark.read.format(fmt).load(path)
 
 
 def read_catalog(spark: SparkSession, name: str) -> DataFrame:

@@ -9,7 +9,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dqspark.operators.dedup import dedup
+from dqspark.operators.names import quoted
 from dqspark.session import scratch_path
+from dqspark.sources.buckets import kept_columns, same_keys, typed_like
 from dqspark.sources.files import remove_folder
 from dqspark.sources.snapshots import read_snapshot, snapshots, write_snapshot
 
@@ -38,7 +40,8 @@ def upsert(
     already, as after a grouping by the keys, which saves a shuffle.
 
     A column that the source has and the table lacks raises; with ``add_columns`` it is added to a
-    Parquet table, NULL in the old rows. The source is reduced to one row per key first. A NULL in a key equals a NULL there, and so
+    Parquet table, NULL in the old rows. A column that only a Parquet table has keeps its stored values, NULL in new
+    rows. A key whose type is not the table's raises, unless both are numbers. The source is reduced to one row per key first. A NULL in a key equals a NULL there, and so
     it does in the merge; were it to match nothing, every run would add such rows again.
     """
     spark, rows = source.sparkSession, source if unique else dedup(source, keys, order_by)
@@ -75,11 +78,11 @@ def _merge_snapshot(
     current, incoming = read_snapshot(spark, target), scratch_path(spark, "upsert")
     if not add_columns:
         _no_more_columns(rows, current, target)
+    rows = kept_columns(typed_like(rows, current, keys, target), current, keys)
     more = [c for c in rows.columns if c.lower() not in {c.lower() for c in current.columns}]
-    rows.select(*current.columns, *more).write.parquet(incoming)
+    rows.select(*[quoted(c) for c in [*current.columns, *more]]).write.parquet(incoming)
     rows = spark.read.parquet(incoming)
-    replaced = rows.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)])
+    replaced, same, _ = same_keys(current, rows.select(*[quoted(k) for k in keys]), keys)
     merged = write_snapshot(current.join(replaced, same, "left_anti").unionByName(rows, allowMissingColumns=True), target, keep)
     remove_folder(spark, incoming)
     return merged
