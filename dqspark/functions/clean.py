@@ -45,9 +45,10 @@ def parse_number(col: Column) -> Column:
 
 
 def numeric_or_null(col: Column) -> Column:
-    """The value as a double when the whole text is digits and dots, else NULL."""
+    """Text as a double when the whole of it is digits and dots, else NULL; numbers as they are."""
     text = col.cast("string")
-    return F.when(text.rlike("^[0-9.]+$"), text.try_cast("double"))
+    read = F.when(text.rlike("^[0-9.]+$"), text.try_cast("double"))
+    return F.when(F.typeof(col) == "string", read).otherwise(col.try_cast("double"))
 
 
 def is_blank(col: Column) -> Column:

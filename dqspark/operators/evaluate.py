@@ -13,8 +13,9 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException, IllegalArgumentException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from dqspark.operators.names import has_columns, quoted, schema_of, type_of
 from dqspark.operators.rules import (
     Aggregates,
     GroupRule,
@@ -53,13 +54,14 @@ def evaluate(
     """One row per rule, with its counts and its outcome.
 
     ``name`` is what SQL rules call the table, besides ``primary``; ``tables`` are the others that
-    SQL rules and references may name. A rule on a column the table lacks fails.
+    SQL rules and references may name. A rule that cannot be answered fails alone: on a column the table lacks, with a
+    pattern that is none, or of a bound on a column that has no order. Names follow the session's rule on case. What a
+    user's SQL raises while it runs stops the whole evaluation.
     """
-    present = set(df.columns)
     numbered = list(enumerate(rules, start=1))
     answered, metric, keyed, referring, parts = [], [], [], [], []
     for position, rule in numbered:
-        if not isinstance(rule, SchemaRule) and not present.issuperset(rule.columns):
+        if not isinstance(rule, SchemaRule) and (not has_columns(df, rule.columns) or _bad_pattern(df.sparkSession, rule)):
             answered.append((position, rule, FAILED))
         elif isinstance(rule, SchemaRule):
             answered.append((position, rule, _schema_reading(rule, df)))
@@ -216,11 +218,38 @@ def _schema_reading(rule: SchemaRule, df: DataFrame) -> Reading:
 
 
 def _metric_part(df: DataFrame, rules: list[tuple[int, MetricRule]], answered: list[Answer]) -> DataFrame:
-    aggregates, schema = Aggregates(), df.schema
+    aggregates, schema = Aggregates(), schema_of(df)
     answers = [(position, rule, rule.read(aggregates, schema)) for position, rule in rules]
     if not answers:
         return _unfold(df.sparkSession.range(1), answered)
-    return _unfold(df.agg(*aggregates.columns()), answered + answers)
+    try:
+        return _unfold(df.agg(*aggregates.columns()), answered + answers)
+    except AnalysisException:
+        fit = [a for a in rules if _fits(df, a[1])]
+        if len(fit) == len(rules):
+            raise
+        return _metric_part(df, fit, answered + [(*a, FAILED) for a in rules if a not in fit])
+
+
+def _fits(df: DataFrame, rule: MetricRule) -> bool:
+    """Whether the rule's aggregates can be asked of the table, by their types."""
+    aggregates = Aggregates()
+    rule.read(aggregates, schema_of(df))
+    try:
+        df.agg(*aggregates.columns() or [F.lit(1)])
+    except AnalysisException:
+        return False
+    return True
+
+
+def _bad_pattern(spark: SparkSession, rule: Rule) -> bool:
+    """Whether a pattern of the rule cannot be read; Spark would find out in the tasks, and stop all rules."""
+    try:
+        for pattern in rule.patterns:
+            spark._jvm.java.util.regex.Pattern.compile(pattern)
+    except IllegalArgumentException:
+        return True
+    return False
 
 
 def _key_parts(df: DataFrame, rules: list[tuple[int, GroupRule]]) -> list[DataFrame]:
@@ -256,7 +285,7 @@ def count_per_key(
     """
     columns = list(dict.fromkeys(c for s in sets for c in s))
     called = {c: f"key{i}" for i, c in enumerate(columns)}
-    keys = df.select(*[F.col(c).alias(called[c]) for c in columns])
+    keys = df.select(*[quoted(c).alias(called[c]) for c in columns])
     count, names = F.count(F.lit(1)).alias("n"), {s: tuple(called[c] for c in s) for s in sets}
     if len(sets) == 1:
         counted = keys.groupBy(*keys.columns).agg(count).withColumn("key_set", F.lit(0))
@@ -275,11 +304,11 @@ def _reference_parts(
     parts = []
     for column in dict.fromkeys(rule.columns[0] for _, rule in rules):
         mine = [(position, rule) for position, rule in rules if rule.columns[0] == column]
-        known = [a for a in mine if a[1].parent_column in getattr(tables.get(a[1].parent), "columns", ())]
+        known = [a for a in mine if a[1].parent in tables and has_columns(tables[a[1].parent], [a[1].parent_column])]
         lost = [(position, rule, FAILED) for position, rule in mine if (position, rule) not in known]
-        kinds = dict.fromkeys(tables[rule.parent].schema[rule.parent_column].dataType for _, rule in known)
+        kinds = dict.fromkeys(type_of(tables[rule.parent], rule.parent_column) for _, rule in known)
         for kind in kinds:
-            alike = [a for a in known if tables[a[1].parent].schema[a[1].parent_column].dataType == kind]
+            alike = [a for a in known if type_of(tables[a[1].parent], a[1].parent_column) == kind]
             parts.append(_reference_part(df, column, alike, tables))
         if lost:
             parts.append(_unfold(df.sparkSession.range(1), lost))
@@ -300,7 +329,7 @@ def _reference_part(
     def keys(i: int) -> DataFrame:
         side, key = sides[i]
         value = as_key(side, key, *sides[0 if i else 1])
-        unread = F.col(key).isNotNull() & value.isNull() if i == 0 else F.lit(False)
+        unread = quoted(key).isNotNull() & value.isNull() if i == 0 else F.lit(False)
         marks = [F.lit(int(i == j)).alias(f"in{j}") for j in range(len(sides))]
         return side.select(value.alias("k"), unread.alias("unread"), *marks)
 

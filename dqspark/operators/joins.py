@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+
+from dqspark.operators.names import quoted, unlike
 
 
 def join_reduced(
@@ -16,6 +22,17 @@ def join_reduced(
     of the key instead, so both sides are shuffled for the join; the reduced side is the small
     one. When that side fits a broadcast by its measured size there is no shuffle at all.
     """
-    given = rows.filter(F.col(key).isNotNull())
-    known = reduced.filter(F.col(reduced_key).isNotNull())
-    return given.join(known, F.col(key).eqNullSafe(F.col(reduced_key)), how)
+    given = rows.filter(quoted(key).isNotNull())
+    known = reduced.filter(quoted(reduced_key).isNotNull())
+    return given.join(known, quoted(key).eqNullSafe(quoted(reduced_key)), how)
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column, list[str]]:
+    """``right`` with its keys under names that ``left`` lacks, the condition that keys are equal, and those names."""
+    names: list[str] = []
+    for i in range(len(keys)):
+        names.append(unlike([*left.columns, *right.columns, *names], f"_key{i}"))
+    renamed = right.select(
+        *[quoted(k).alias(n) for k, n in zip(keys, names)], *[quoted(c) for c in right.columns if c not in keys]
+    )
+    return renamed, reduce(and_, [quoted(k).eqNullSafe(quoted(n)) for k, n in zip(keys, names)]), names

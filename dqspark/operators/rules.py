@@ -15,7 +15,7 @@ Counts that break a rule never include NULLs, except in the rules about NULLs.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import or_
 
@@ -28,6 +28,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from dqspark.operators.names import quoted, type_of
 from dqspark.operators.thresholds import Threshold, all_hold, any_holds, thresholds
 from dqspark.operators.violations import duplicated_rows, orphans
 
@@ -62,6 +63,7 @@ class Rule:
     must: tuple[Threshold, ...] = ()
     warn: tuple[Threshold, ...] = ()
     fail: tuple[Threshold, ...] = ()
+    patterns: tuple[str, ...] = ()
 
     @property
     def column(self) -> str | None:
@@ -191,7 +193,7 @@ class Aggregates:
         return self.get(name, lambda: F.count_if(condition))
 
     def nulls(self, column: str) -> Column:
-        return self.count(f"nulls of {column}", F.col(column).isNull())
+        return self.count(f"nulls of {column}", quoted(column).isNull())
 
     def columns(self) -> list[Column]:
         return self._aliased
@@ -212,8 +214,8 @@ class MetricRule(Rule):
         if self.bad is None:
             return super().failing_rows(df)
         (column,) = self.columns
-        rows = df.filter(self.bad(df.schema[column].dataType))
-        return rows.withColumn("invalid_value", F.col(column)) if self.keep_value else rows
+        rows = df.filter(self.bad(type_of(df, column)))
+        return rows.withColumn("invalid_value", quoted(column)) if self.keep_value else rows
 
 
 def _row_rule(
@@ -297,13 +299,13 @@ def row_count_between(low: int | None, high: int | None) -> Rule:
 
 def metric_min(column: str, must: Limits = None, warn: Limits = None, fail: Limits = None) -> Rule:
     return _table_metric(
-        "min", column, lambda a: a.get(f"min of {column}", lambda: F.min(column)), must, warn, fail
+        "min", column, lambda a: a.get(f"min of {column}", lambda: F.min(quoted(column))), must, warn, fail
     )
 
 
 def metric_max(column: str, must: Limits = None, warn: Limits = None, fail: Limits = None) -> Rule:
     return _table_metric(
-        "max", column, lambda a: a.get(f"max of {column}", lambda: F.max(column)), must, warn, fail
+        "max", column, lambda a: a.get(f"max of {column}", lambda: F.max(quoted(column))), must, warn, fail
     )
 
 
@@ -320,7 +322,7 @@ def not_null(column: str, mostly: float = 1.0) -> Rule:
         definition=f"{column} is not NULL",
         metrics=("missing_count",),
         read=read,
-        bad=lambda dtype: F.col(column).isNull(),
+        bad=lambda dtype: quoted(column).isNull(),
     )
 
 
@@ -343,13 +345,13 @@ def missing(column: str, must: Limits = None, warn: Limits = None, fail: Limits
         warn=thresholds(warn),
         fail=thresholds(fail),
         read=read,
-        bad=lambda dtype: F.col(column).isNull(),
+        bad=lambda dtype: quoted(column).isNull(),
     )
 
 
 def _number(column: str, dtype: DataType) -> Column:
     """The value to compare with bounds; text is read as a number where it is one."""
-    value = F.col(column)
+    value = quoted(column)
     return value.try_cast("double") if isinstance(dtype, StringType) else value
 
 
@@ -364,7 +366,7 @@ def _outside(
         broken.append(value <= low if strict_low else value < low)
     if high is not None:
         broken.append(value >= high if strict_high else value > high)
-    return F.col(column).isNotNull() & reduce(or_, broken) if broken else F.lit(False)
+    return quoted(column).isNotNull() & reduce(or_, broken) if broken else F.lit(False)
 
 
 def between(
@@ -394,9 +396,9 @@ def non_negative(column: str) -> Rule:
 
 def length_between(column: str, low: int | None = None, high: int | None = None, mostly: float = 1.0) -> Rule:
     def bad(dtype: DataType) -> Column:
-        length = F.length(F.col(column))
+        length = F.length(quoted(column))
         broken = ([length < low] if low is not None else []) + ([length > high] if high is not None else [])
-        return F.col(column).isNotNull() & reduce(or_, broken) if broken else F.lit(False)
+        return quoted(column).isNotNull() & reduce(or_, broken) if broken else F.lit(False)
 
     return _row_rule(
         "length_between",
@@ -408,13 +410,14 @@ def length_between(column: str, low: int | None = None, high: int | None = None,
 
 
 def _unmatched(column: str, regex: str) -> Column:
-    return F.col(column).isNotNull() & ~F.col(column).cast("string").rlike(regex)
+    return quoted(column).isNotNull() & ~quoted(column).cast("string").rlike(regex)
 
 
 def matches(column: str, regex: str, mostly: float = 1.0) -> Rule:
-    return _row_rule(
+    rule = _row_rule(
         "matches", column, lambda dtype: _unmatched(column, regex), f"{column} matches {regex}", mostly
     )
+    return replace(rule, patterns=(regex,))
 
 
 def uri_format(column: str) -> Rule:
@@ -429,7 +432,7 @@ def _not_of_kind(column: str, kind: str, dtype: DataType) -> Column:
     if isinstance(dtype, StringType):
         return _unmatched(column, WHOLE_NUMBER if whole else NUMBER)
     fits = isinstance(dtype, IntegralType) if whole else isinstance(dtype, NumericType)
-    return F.lit(False) if fits else F.col(column).isNotNull()
+    return F.lit(False) if fits else quoted(column).isNotNull()
 
 
 KINDS = ("int", "integer", "float", "decimal", "string")
@@ -467,7 +470,7 @@ def invalid(
         if regex is not None:
             broken.append(_unmatched(column, regex))
         if values is not None:
-            broken.append(F.col(column).isNotNull() & ~F.col(column).isin(list(values)))
+            broken.append(quoted(column).isNotNull() & ~quoted(column).isin(list(values)))
         if min is not None or max is not None:
             broken.append(_outside(column, dtype, min, max))
         if kind is not None:
@@ -674,6 +677,28 @@ def sql_metric(name: str, query: str, must: Limits = None, warn: Limits = None,
     )
 
 
+def expr_metric(name: str, expression: str, must: Limits = None, warn: Limits = None, fail: Limits = None) -> Rule:
+    """An aggregate over the table, as ``count_if(sales_amount > 100000)``, against thresholds.
+
+    It is read in the same pass as all other metrics, where ``sql_metric`` runs a query of its own. An expression that
+    the table cannot answer fails alone.
+    """
+
+    def read(aggregates: Aggregates, schema: StructType) -> Reading:
+        value = aggregates.get(f"expression {expression}", lambda: F.expr(expression).cast("double"))
+        return Reading(aggregates.rows(), None, value)
+
+    return MetricRule(
+        rule=name,
+        definition=_describe("expr_metric", f"{name}: {expression}", must, warn, fail),
+        metrics=(name,),
+        must=thresholds(must),
+        warn=thresholds(warn),
+        fail=thresholds(fail),
+        read=read,
+    )
+
+
 def custom_sql(query: str) -> Rule:
     """Passes when the query, which selects bad rows from ``primary``, returns none."""
     return SqlRule(

@@ -7,15 +7,14 @@ leaves the files of the others as they are. The folder's name says how many buck
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType
 
 from dqspark.operators.dedup import dedup
-from dqspark.operators.names import quoted, unlike
+from dqspark.operators.joins import same_keys
+from dqspark.operators.names import quoted
 from dqspark.session import stored
 from dqspark.sources.files import child_folders, file_exists, remove_folder
 
@@ -68,17 +67,6 @@ def read_keys(spark: SparkSession, path: str, rows: DataFrame, bucket_by: Sequen
     return table.filter(F.col(column).isin(buckets_of(table, rows, bucket_by, column))).drop(column)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column, list[str]]:
-    """``right`` with its keys under names that ``left`` lacks, the condition that keys are equal, and those names."""
-    names: list[str] = []
-    for i in range(len(keys)):
-        names.append(unlike([*left.columns, *right.columns, *names], f"_key{i}"))
-    renamed = right.select(
-        *[quoted(k).alias(n) for k, n in zip(keys, names)], *[quoted(c) for c in right.columns if c not in keys]
-    )
-    return renamed, reduce(and_, [quoted(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]), names
-
-
 def typed_like(rows: DataFrame, table: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """Rows with the table's types; a key of another kind of type raises, as it could meet none of the table's."""
     types = {f.name.lower(): f.dataType for f in table.schema}

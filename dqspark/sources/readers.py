@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from dqspark.operators.names import unlike
+from dqspark.session import stored
 from dqspark.sources.buckets import read_buckets
 from dqspark.sources.files import child_folders
 from dqspark.sources.snapshots import read_snapshot
@@ -17,14 +19,35 @@ def read_csv(
 ) -> DataFrame:
     """Headered CSV. Without a schema all columns are text, so no pass over the data infers types.
 
-    With a schema the header must have its names in its order: a file that has them otherwise raises when it is
-    read, and does not fill the wrong columns. ``multi_line`` keeps line breaks inside quotes, at the price of one
+    Every file's header must have the names of the schema, or of the first file, in their order: one that has them
+    otherwise raises when it is read, and does not fill the wrong columns. Fields too many are dropped and values that
+    cannot be read are NULL; ``read_csv_checked`` keeps such rows apart. ``multi_line`` keeps line breaks inside quotes, at the price of one
     task per file.
     """
-    reader = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=schema is None)
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=False)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of a headered CSV that fit the schema, and those that do not, as ``(line, file)``.
+
+    A row does not fit that has fields too many or too few, or a value that its type cannot hold. All columns are read
+    and written once below the shared folder, as Spark finds out about a field only when it parses it. Headers are
+    checked as in ``read_csv``.
+    """
+    typed = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    line = unlike(typed.names, "_line")
+    known = StructType([*typed.fields, StructField(line, StringType())])
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line, enforceSchema=False, mode="PERMISSIVE")
+    rows = reader.option("columnNameOfCorruptRecord", line).schema(known).csv(path)
+    file = unlike(known.names, "_file")
+    held = stored(rows.withColumn(file, F.input_file_name()), "csv")
+    fits = F.col(line).isNull()
+    return held.filter(fits).drop(line, file), held.filter(~fits).select(F.col(line).alias("line"), F.col(file).alias("file"))
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """A table folder: of any format Spark reads, or ``snapshot`` or ``buckets`` for tables that are upserted."""
     own = {"snapshot": read_snapshot, "buckets": read_buckets}
@@ -87,15 +110,29 @@ def jdbc_options(
 def register_results(spark: SparkSession, path: str, prefix: str = "dq_") -> list[str]:
     """Make every result folder below ``path`` a catalog table named ``prefix`` + folder.
 
-    Called again, it finds the folders and partitions that were appended since.
+    Called again, it finds the folders, partitions and columns that were appended since; a column is NULL in older rows.
+    A column whose type has changed raises.
     """
     names = []
     for folder in child_folders(spark, path):
         name = prefix + folder.rstrip("/").rsplit("/", 1)[-1]
         if not spark.catalog.tableExists(name):
             spark.catalog.createTable(name, path=folder, source="parquet")
+        _add_columns(spark, name, spark.read.option("mergeSchema", True).parquet(folder).schema)
         if any(part.isPartition for part in spark.catalog.listColumns(name)):
             spark.catalog.recoverPartitions(name)
         spark.catalog.refreshTable(name)
         names.append(name)
     return names
+
+
+def _add_columns(spark: SparkSession, name: str, found: StructType) -> None:
+    """Give a table the columns that its files have and it lacks."""
+    known = {f.name.lower(): f.dataType for f in spark.table(name).schema}
+    new = [f for f in found if f.name.lower() not in known]
+    for f in found:
+        if known.get(f.name.lower(), f.dataType) != f.dataType:
+            raise ValueError(f"{name}.{f.name} is {known[f.name.lower()].simpleString()}, its files have {f.dataType.simpleString()}")
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")

@@ -9,9 +9,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dqspark.operators.dedup import dedup
+from dqspark.operators.joins import same_keys
 from dqspark.operators.names import quoted
 from dqspark.session import scratch_path
-from dqspark.sources.buckets import kept_columns, same_keys, typed_like
+from dqspark.sources.buckets import kept_columns, typed_like
 from dqspark.sources.files import remove_folder
 from dqspark.sources.snapshots import read_snapshot, snapshots, write_snapshot
 
