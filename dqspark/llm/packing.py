@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -14,25 +15,75 @@ from tokenizers import Tokenizer
 
 from dqspark.llm.common import mapped, quoted
 
-#: Tokens that are packed together in one task, and signs that are tokenized at once.
-CHUNK, SLICE = 1 << 22, 1 << 20
+#: Tokens that are packed together in one task, signs that are tokenized at once, and words a task remembers.
+CHUNK, SLICE, REMEMBERED = 1 << 22, 1 << 20, 1 << 19
 #: A chunk with a larger share of padding gives up its emptiest windows to fill the holes of others.
 PADDING = 0.005
 
 _BREAK = re.compile("[ \t\n\x0b\f\r]")
+_WORD = re.compile("[^ \t\n\x0b\f\r]+")
+#: How the tokenizer cuts a word of these letters and ASCII signs, once lower-cased; fixed by its file.
+_LATIN = re.compile("[\x00-\x7fÀ-ÖØ-öø-ÿ]+")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
-def _tokenizer(path: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+class Words:
+    """Token ids of texts, word by word, for a tokenizer that drops white space, lets no token cross it and marks the
+    ends of its pieces with ``</w>``.
 
+    Ids are asked for once a word and remembered. Many words occur once (numbers, keys, junk); those of Latin letters
+    and ASCII signs are cut into the pieces that the tokenizer would cut, which recur, and only new pieces are asked for,
+    many at a time. Other words, and those with a special token's beginning, are asked for whole. A memory that is full is
+    emptied.
+    """
 
-def _ids(tokenizer: Tokenizer, text: str) -> list[np.ndarray]:
-    """The ids of a whole text, tokenized in slices that end at white space, which no token crosses."""
-    found = (tokenizer.encode(part, add_special_tokens=False).ids for part in _slices(text))
-    return [np.array(ids, dtype=np.uint32) for ids in found]
+    def __init__(self, path: str):
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
+        vocabulary = self._tokenizer.get_vocab()
+        self._last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self._last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._words: dict[str, list[int]] = {}
+        self._pieces: dict[str, list[int]] = {}
+
+    def ids(self, text: str) -> list[np.ndarray]:
+        """The ids of a whole text, in slices that end at white space, so that one text's words are never all held."""
+        return [self._slice(part) for part in _slices(text)]
+
+    def _slice(self, text: str) -> np.ndarray:
+        words = _WORD.findall(text)
+        if len(self._words) > REMEMBERED:
+            self._words.clear()
+        if new := set(words).difference(self._words):
+            self._learn(new)
+        return np.fromiter(chain.from_iterable(map(self._words.__getitem__, words)), dtype=np.uint32)
+
+    def _learn(self, words: set[str]) -> None:
+        cut, whole = {}, []
+        for word in words:
+            if not _LATIN.fullmatch(word) or "<|" in word:
+                whole.append(word)
+            else:
+                low = word.lower()
+                cut[word] = (low,) if low.isalpha() else _PIECE.findall(low)
+        known = self._pieces
+        if len(known) > REMEMBERED:
+            known.clear()
+        if new := list({p for pieces in cut.values() for p in pieces}.difference(known)):
+            self._ask(new)
+        for word, pieces in cut.items():
+            self._words[word] = known[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in known[p]]
+        for word, found in zip(whole, self._tokenizer.encode_batch(whole, add_special_tokens=False)):
+            self._words[word] = found.ids
+
+    def _ask(self, pieces: list[str]) -> None:
+        """Tokenize pieces as one text, and cut it after each piece's last token."""
+        ids = self._tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids
+        low = 0
+        for piece, high in zip(pieces, (np.flatnonzero(self._last[ids]) + 1).tolist(), strict=True):
+            self._pieces[piece] = ids[low:high]
+            low = high
 
 
 def _slices(text: str) -> Iterator[str]:
@@ -175,7 +226,7 @@ def pack(
 
 
 def _pack(tokenizer: str, window: int, end: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    reader, first = _tokenizer(tokenizer), TaskContext.get().partitionId() << 40
+    words, first = Words(tokenizer), TaskContext.get().partitionId() << 40
     known: dict[str, np.ndarray] = {}  # texts of this chunk: copies are tokenized once
     ids: list[np.ndarray] = []
     names: list[pa.Array] = []
@@ -185,7 +236,7 @@ def _pack(tokenizer: str, window: int, end: int, batches: Iterable[pa.RecordBatc
         for row, text in enumerate(batch["text"]):
             text = text.as_py() or ""
             if text not in known:
-                known[text] = np.concatenate([*_ids(reader, text), np.array([end], dtype=np.uint32)])
+                known[text] = np.concatenate([*words.ids(text), np.array([end], dtype=np.uint32)])
             ids.append(known[text])
             held += len(ids[-1])
             if held >= CHUNK:

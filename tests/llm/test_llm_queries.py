@@ -15,8 +15,8 @@ def documents(spark, sf_dir):
     return {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and set(ORACLES) <= set(QUERIES)
 
 
 def test_pii_digests(spark, sf_dir, documents):
