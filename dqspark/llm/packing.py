@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator, Sequence
-from functools import partial
-from itertools import chain
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from dqspark.llm.common import mapped, quoted
 
@@ -44,8 +43,14 @@ class Words:
         vocabulary = self._tokenizer.get_vocab()
         self._last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._words: dict[str, list[int]] = {}
-        self._pieces: dict[str, list[int]] = {}
+        # For pieces, which are in their final form: the same merges without normalizing and cutting again.
+        self._merges = Tokenizer.from_file(path)
+        self._merges.normalizer = normalizers.Sequence([])
+        self._merges.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self._words: dict[str, bytes] = {}  # ids as little-endian unsigned 32-bit numbers
+        self._pieces: dict[str, bytes] = {}
 
     def ids(self, text: str) -> list[np.ndarray]:
         """The ids of a whole text, in slices that end at white space, so that one text's words are never all held."""
@@ -57,7 +62,7 @@ class Words:
             self._words.clear()
         if new := set(words).difference(self._words):
             self._learn(new)
-        return np.fromiter(chain.from_iterable(map(self._words.__getitem__, words)), dtype=np.uint32)
+        return np.frombuffer(b"".join(map(self._words.__getitem__, words)), dtype="<u4")
 
     def _learn(self, words: set[str]) -> None:
         cut, whole = {}, []
@@ -73,19 +78,26 @@ class Words:
         if new := list({p for pieces in cut.values() for p in pieces}.difference(known)):
             self._ask(new)
         for word, pieces in cut.items():
-            self._words[word] = known[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in known[p]]
+            self._words[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
         for word, found in zip(whole, self._tokenizer.encode_batch(whole, add_special_tokens=False)):
-            self._words[word] = found.ids
+            self._words[word] = np.array(found.ids, dtype="<u4").tobytes()
 
     def _ask(self, pieces: list[str]) -> None:
         """Tokenize pieces as one text, and cut it after each piece's last token."""
-        ids = self._tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids
-        low = 0
-        for piece, high in zip(pieces, (np.flatnonzero(self._last[ids]) + 1).tolist(), strict=True):
-            self._pieces[piece] = ids[low:high]
+        found = self._merges.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, dtype="<u4")
+        raw, low = ids.tobytes(), 0
+        for piece, high in zip(pieces, (4 * (np.flatnonzero(self._last[ids]) + 1)).tolist(), strict=True):
+            self._pieces[piece] = raw[low:high]
             low = high
 
 
+@lru_cache(maxsize=1)
+def _words(path: str) -> Words:
+    """One memory for all tasks that a worker process runs one after the other."""
+    return Words(path)
+
+
 def _slices(text: str) -> Iterator[str]:
     start = 0
     while start < len(text):
@@ -226,7 +238,7 @@ def pack(
 
 
 def _pack(tokenizer: str, window: int, end: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, first = Words(tokenizer), TaskContext.get().partitionId() << 40
+    words, first = _words(tokenizer), TaskContext.get().partitionId() << 40
     known: dict[str, np.ndarray] = {}  # texts of this chunk: copies are tokenized once
     ids: list[np.ndarray] = []
     names: list[pa.Array] = []
