@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dqspark.operators.contract import contract_from_draft, test_contract
 from dqspark.operators.evaluate import evaluate
 from dqspark.operators.profile import contract_from_tables, distinct_counts, profile, suite_from_profile
+from dqspark.operators.profile_sketches import DEVIATION, extend_sketches, kept_sketches, profile_of
 from dqspark.operators.suites import load_suite, rules_from_suite, save_suite
 from dqspark.plans.columns import SALES_TYPES
 from dqspark.registry import sql
@@ -28,6 +29,20 @@ def profile_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(stored(raw_sales(spark, sf_dir), "sales"))
 
 
+def profile_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of lines that came in by return flag, merged from sketches: first one flag's, later the others'.
+
+    ``distinct_near`` says whether the estimate is within three deviations of the exact count.
+    """
+    line, path = given(spark, sf_dir, "lineitem"), scratch_path(spark, "sketches")
+    extend_sketches(line.filter("l_returnflag = 'A'"), "l_returnflag", path)
+    extend_sketches(line, "l_returnflag", path)
+    found = profile_of(kept_sketches(spark, path), ()).withColumnRenamed("distinct", "estimated")
+    near = F.abs(F.col("estimated") - F.col("distinct")) <= 3 * DEVIATION * F.col("distinct")
+    both = found.join(distinct_counts(line), "column")
+    return both.select(*_SHOWN, F.round("mean", 4).alias("mean"), near.alias("distinct_near"))
+
+
 _QUARTILES = (0.25, 0.5, 0.75)
 
 
@@ -91,6 +106,7 @@ QUERIES = {
         profile_lineitem,
         profile_sales,
         profile_quantiles,
+        profile_grown,
         suite_from_part,
         contract_draft,
         contract_of_draft,
@@ -211,6 +227,7 @@ ORACLES = {
     "contract_of_draft": _draft_outcomes_sql(),
     "profile_lineitem": _profile_sql("lineitem", _LINEITEM),
     "profile_quantiles": _quantiles_sql(),
+    "profile_grown": f"SELECT *, TRUE AS distinct_near FROM ({_profile_sql('lineitem', _LINEITEM)})",
     "profile_sales": sql.with_tables("raw_sales", _profile_sql("raw_sales", _SALES)),
     "suite_from_part": _part_suite_sql(),
     "contract_draft": _draft_sql(),
