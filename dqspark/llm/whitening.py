@@ -187,6 +187,7 @@ def _project(spark: SparkSession, centred: BlockMatrix, axes: Axes) -> tuple[Dat
     blocks = [((i, 0), DenseMatrix(len(b), kept, b.ravel(order="F"))) for i, b in enumerate(cut)]
     turned = centred.multiply(BlockMatrix(spark.sparkContext.parallelize(blocks, 1), height, kept, len(turn), kept))
     error = float(np.abs(_scatter(turned) / axes.n - np.eye(kept)).max())
-    rows = callMLlibFunc("getIndexedRows", turned.toIndexedRowMatrix()._java_matrix_wrapper._java_model)
+    by_row = turned.toIndexedRowMatrix()  # named, as the JVM lets go of a matrix that Python has dropped
+    rows = callMLlibFunc("getIndexedRows", by_row._java_matrix_wrapper._java_model)
     indexed = MLUtils.convertVectorColumnsToML(rows.toDF("index", "vector"), "vector")
     return indexed.select("index", vector_to_array("vector").alias("whitened")), error
