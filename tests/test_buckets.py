@@ -142,7 +142,7 @@ def test_changes_equal_full_refreshes(spark, sf_dir, tmp_path):
     for increment in increments:
         before = files(tmp_path / "b")
         a = refresh(spark, increment, str(tmp_path / "a"))
-        b = refresh_changes(spark, increment, str(tmp_path / "b"), buckets=64)
+        b = refresh_changes(spark, increment, str(tmp_path / "b"), buckets=16)
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
         for name in KEYS:
             x, y = read_snapshot(spark, f"{tmp_path}/a/{name}"), read_buckets(spark, f"{tmp_path}/b/{name}")
