@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from dqspark.operators.joins import join_reduced
+
 
 def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -77,19 +79,19 @@ def group_starts(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
 def meeting(rows: DataFrame, key: str, spread: Column, limit: int, sort: Sequence[str]) -> DataFrame:
     """Bring any two rows of equal ``key`` together in one bounded group, each group sorted.
 
-    Keys of one row go. A key with more than ``limit`` rows is split into parts by the hash of ``spread``
+    Keys of one row go, and null keys. A key with more than ``limit`` rows is split into parts by the hash of ``spread``
     and each two parts make a group, so that no task holds a large key whole: rows of one part are to be
     compared in the group (part, part) alone, rows of two parts in theirs. Adds ``part``, ``low`` and ``high``.
     """
-    many = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    many = rows.groupBy(F.col(key).alias("_of")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     parts = F.ceil(F.col("_n") / limit).cast("int")
     dealt = (
-        rows.join(many, key)
+        join_reduced(rows, many, key, "_of")
         .withColumn("part", F.pmod(F.xxhash64(spread), parts).cast("int"))
         .withColumn("_other", F.explode(F.sequence(F.lit(0), parts - 1)))
         .withColumn("low", F.least("part", "_other"))
         .withColumn("high", F.greatest("part", "_other"))
-        .drop("_n", "_other")
+        .drop("_of", "_n", "_other")
     )
     return dealt.repartition(key, "low", "high").sortWithinPartitions(key, "low", "high", *sort)
 

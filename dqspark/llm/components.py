@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from dqspark.operators.joins import join_reduced
 from dqspark.session import stored
 
 
@@ -35,12 +36,12 @@ def _state(edges: DataFrame) -> tuple[int, object]:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every higher neighbour of a node is linked to the node's lowest neighbour, or itself."""
     both = edges.union(edges.select(F.col("b"), F.col("a"))).toDF("a", "b")
-    lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
-    return both.join(lowest, "a").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
+    lowest = both.groupBy(F.col("a").alias("of")).agg(F.least(F.min("b"), F.col("of")).alias("low"))
+    return join_reduced(both, lowest, "a", "of").filter("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its lower neighbours are linked to the lowest of them."""
-    lowest = edges.groupBy("a").agg(F.min("b").alias("low"))
-    moved = edges.join(lowest, "a").filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-    return moved.union(lowest.select("a", F.col("low").alias("b"))).distinct()
+    lowest = edges.groupBy(F.col("a").alias("of")).agg(F.min("b").alias("low"))
+    moved = join_reduced(edges, lowest, "a", "of").filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+    return moved.union(lowest.select(F.col("of").alias("a"), F.col("low").alias("b"))).distinct()

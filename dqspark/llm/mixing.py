@@ -193,6 +193,8 @@ def _fitting(rows: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 8, **options) -> DataFrame:
     """The mix: a row for each copy, with the documents' own columns and ``shard``, the output shard.
 
+    Input columns named ``shard`` or as those that ``plan`` adds are not returned; give them other names to keep them.
+
     A shard's rows are shuffled: they stand in the order of a hash of the copy, which Spark deals out by range, so a task
     holds a piece of a shard, however large that is. See ``plan`` for the rest; rows without copies are not in the mix.
     """

@@ -12,14 +12,21 @@ from pyspark.sql import Column, DataFrame, functions as F
 from dqspark.llm.common import quoted
 from dqspark.session import stored
 
-#: Runs of signs that keys are made of, long enough for one.
-CANDIDATE = "[A-Za-z0-9+/_=-]{16,}+"
+_CREDENTIAL = "token|secret|passw|pwd|api.?key|auth|credential|bearer|private"
+#: A value that a credential's name is given, of any length from four signs on. The short look behind fails at once at most
+#: places, so the long one is seldom tried.
+_ASSIGNED = (
+    f"(?<=[:=]\\s{{0,2}}[\"']?)(?<=(?i:{_CREDENTIAL})[A-Za-z_]{{0,12}}[\"']?\\s{{0,2}}[:=]\\s{{0,2}}[\"']?)"
+    "[^\\s\"'<>(){}\\[\\],;]{4,}+"
+)
+#: Runs of signs that keys are made of, long enough for one, with padding at the end; none starts within another.
+_RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}+"
+CANDIDATE = f"{_ASSIGNED}|{_RUN}"
 #: Code points of the text before a candidate, and after it, in which neighbouring words are sought.
 BEFORE, AFTER = 40, 20
 #: Words of the dictionary at most, and their length; labelled findings that are learnt from at most; trees.
 DICTIONARY, LETTERS, SAMPLE, TREES, DEPTH = 1000, (4, 12), 20_000, 24, 6
 
-_CREDENTIAL = "token|secret|passw|pwd|api.?key|auth|credential|bearer|private"
 _WORD = "(?:example|sample|dummy|test|placeholder|redacted)"
 _PLACEHOLDER = f"(?<![a-z]){_WORD}(?![a-z])|xxxx"
 #: What is no secret: values that such a name or an address precedes, and identifiers of this form.
@@ -48,12 +55,9 @@ def _placeholder() -> Column:
     return F.lower("value").rlike(_PLACEHOLDER) | beside
 
 
-def candidates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = "source", every: bool = False
-) -> DataFrame:
-    """``(id, path, start, end, before, value, after)`` per candidate: a run of key signs with a digit and a letter.
-
-    With ``every`` also the runs without one of these, from which no secret is proposed but can be learnt.
+def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = "source") -> DataFrame:
+    """``(id, path, start, end, before, value, after)`` per candidate: a long run of key signs, or any value that a
+    credential's name is given.
 
     Start and end count code points, the end is exclusive. Null texts have none. Each text is cut once at its
     candidates; their places are running sums over the pieces.
@@ -63,7 +67,9 @@ def candidates(
         (quoted(path).cast("string") if path else F.lit(None).cast("string")).alias("path"),
         F.coalesce(quoted(text), F.lit("")).alias("text"),
     )
-    found = rows.withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))).filter(F.size("found") > 0)
+    # Most texts have no candidate: the filter ends at a text's first, and only texts with one are cut.
+    found = rows.filter(F.col("text").rlike(CANDIDATE))
+    found = found.withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
     found = found.withColumn("gaps", F.split("text", CANDIDATE, -1))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
 
@@ -75,7 +81,6 @@ def candidates(
 
     starts = F.aggregate(F.sequence(F.lit(0), F.size("found") - 1), start, step, lambda s: s["starts"])
     spans = F.arrays_zip(starts.alias("start"), F.col("found").alias("value"))
-    spans = spans if every else F.filter(spans, lambda s: _mixed(s["value"]))
     return (
         found.withColumn("spans", spans)
         .withColumn("span", F.explode("spans"))
@@ -93,6 +98,7 @@ def measured(found: DataFrame, words: list[str]) -> DataFrame:
     path = F.coalesce(F.lower("path"), F.lit(""))
     length = F.length(value).cast("double")
     kinds = F.translate(value, "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-", "a" * 26 + "A" * 26 + "0" * 10 + "." * 5)
+    kinds = F.regexp_replace(kinds, "[^aA0]", ".")
     runs = F.filter(F.split(F.regexp_replace(kinds, "(a+|A+|0+|\\.+)", "$1 "), " "), lambda r: r != "")
     known = "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True))
     rest = F.length(F.regexp_replace(F.lower(value), known, "")) if known else length
@@ -149,12 +155,13 @@ def judged(found: DataFrame, model: RandomForestClassificationModel | float, lea
 
 def seeds(found: DataFrame) -> DataFrame:
     """Findings with a label where none were given: 1 for a mixed value assigned to a credential's name and no
-    placeholder; 0 for placeholders, named hashes, parts of addresses, UUIDs, and runs without a digit or a letter that
-    no such name precedes; null where neither is certain."""
+    placeholder; 0 for placeholders, named hashes, parts of addresses, UUIDs, runs without a digit or a letter that
+    no such name precedes, and words of letters after such a name without quotes, as in prose; null where neither is certain."""
     before = F.lower("before")
     named = before.rlike(f"(?:{_CREDENTIAL})[a-z_]*[\"']?\\s*[:=]\\s*[\"']?$")
     mixed, public = _mixed(F.col("value")), before.rlike(_PUBLIC) | F.lower("value").rlike(_UUID)
-    label = F.when(_placeholder(), 0.0).when(named & mixed, 1.0).when(~named & (public | ~mixed), 0.0)
+    prose = ~before.rlike("[\"']$") & F.col("value").rlike("^[A-Z]?[a-z]+[.!?:]?$")
+    label = F.when(_placeholder() | named & prose, 0.0).when(named & mixed, 1.0).when(~named & (public | ~mixed), 0.0)
     return found.withColumn("label", label)
 
 
@@ -175,11 +182,11 @@ def scan(
     Null and empty texts have no candidates; null ids and paths are kept, a null id is never learnt from;
     repeated rows give repeated findings. No rows, or no labels, give what the prior says of each candidate.
     """
-    found = stored(measured(candidates(docs, id, text, path, every=True), dictionary(docs, text)), "candidates")
+    found = stored(measured(candidates(docs, id, text, path), dictionary(docs, text)), "candidates")
     if labelled is None:
         known = seeds(found)
     else:
         names = ["id", "start", "end"]
         known = found.join(labelled.select(*names, F.col("label").cast("double")).dropDuplicates(names), names)
     learnt = known.filter("label IN (0.0, 1.0) AND crc32(CAST(CAST(id AS STRING) AS BINARY)) % 5 != 0")
-    return judged(found.filter(_mixed(F.col("value"))), train(learnt), least).select("id", "start", "end", "value", "score", "secret")
+    return judged(found, train(learnt), least).select("id", "start", "end", "value", "score", "secret")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import partial
 from itertools import accumulate, combinations
@@ -194,9 +195,12 @@ def one_of_each(
     """The documents but for near duplicates, with their own columns.
 
     Of each component one row stays, which has the smallest id; among rows that repeat that id, the one whose
-    text hashes lowest. Only rows with the smallest id are ranked, so a large component is no large group.
+    text hashes lowest, then the first by all other columns that have an order, a value before null. Null ids come last:
+    a component of null ids alone keeps one. Null texts are empty ones. No rows give no rows. Only rows with the smallest id are ranked, so a large component is no large group.
     """
     rows = Rows(docs)
     own = _grouped(rows, id, text, shingle, distance).filter(F.col(rows.of[id]).eqNullSafe(F.col("component_id")))
-    first = Window.partitionBy("root").orderBy(F.xxhash64(rows.of[text]))
+    ordered = [c for c, kind in rows.frame.dtypes if not re.search("map<|variant|interval|void", kind)]
+    order = [F.xxhash64(rows.of[text]), *[F.col(c).asc_nulls_last() for c in ordered]]
+    first = Window.partitionBy("root").orderBy(*order)
     return rows.back(own.withColumn("rank", F.row_number().over(first)).filter("rank = 1"))

@@ -67,7 +67,9 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
         F.col("verdict").alias("verdict"),
     )
     best = best.groupBy("host", "path").agg(F.max(order).alias("best"))
-    judged = frame.join(best, ["host", "path"], "left").withColumns(
+    # Joined as one struct, Spark shuffles for the join and does not reuse the grouping: a hot URL can then be split.
+    best = best.select(F.struct("host", "path").alias("of"), "best")
+    judged = frame.join(best, F.struct("host", "path").eqNullSafe(F.col("of")), "left").withColumns(
         {"rule": F.col("best.rule"), "verdict": F.coalesce("best.verdict", F.lit(default))}
     )
     return rows.back(judged, "host", "path", "rule", "verdict")
