@@ -6,13 +6,14 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dqspark.llm.common import Rows, word_count
 from dqspark.session import stored
 
-#: Blocks of a source at most, documents of a block at least, and sources whose table may be broadcast.
-BLOCKS, BLOCK_ROWS, BROADCAST = 1024, 64, 100_000
+#: Blocks of a source at most while the input has no more than ``FULL`` documents for each, documents of a block at least,
+#: and sources whose table may be broadcast.
+BLOCKS, FULL, BLOCK_ROWS, BROADCAST = 1024, 4096, 64, 100_000
 
 
 def targets(sizes: Sequence[float], weights: Sequence[float], share: float, most: float) -> list[float]:
@@ -78,8 +79,9 @@ def plan(
     shard's blocks of a source are those at its places in a permutation of all, so no block of a pass is
     dealt twice.
 
-    The driver gets a row per source, and the tree its block counts. The statistics have ``BLOCKS`` rows per source
-    at most, summed before the shuffle: a source with most of the rows is no large group. Everything random
+    The driver gets a row per source, and the tree its block counts. A source has ``BLOCKS`` blocks at most, and twice as many
+    whenever the input outgrows ``FULL`` documents for each, so that the last block of a pass, which one task orders, stays
+    small. The statistics have a row per block, summed before the shuffle: a source with most of the rows is no large group. Everything random
     is a hash or comes from ``seed``: reruns agree.
 
     A null text has no words; rows of size 0 go along with their block. Repeated rows fall into one block and
@@ -87,19 +89,20 @@ def plan(
     """
     rows = Rows(docs)
     rng = np.random.default_rng(seed)
+    most_blocks = block_limit(docs.count())
     hashed = F.xxhash64(F.lit(seed), F.col(rows.of[id]), F.col(rows.of[text]))
     frame = rows.frame.withColumns(
         {
             "size": word_count(F.col(rows.of[text])),
             "source": F.col(rows.of[source]).cast("string"),
             "hash": hashed,
-            "cell": F.pmod(hashed, F.lit(BLOCKS)).cast("int"),
+            "cell": F.pmod(hashed, F.lit(most_blocks)).cast("int"),
         }
     )
     cells = stored(frame.groupBy("source", "cell").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n")), "cells")
-    listed = _sources(cells, weights, share, most)
-    of_source = _places(cells, listed, shards, rng)
-    joined = _with(frame, of_source).withColumn("block", _block())
+    listed = _sources(cells, weights, share, most, most_blocks)
+    of_source = _places(cells, listed, shards, most_blocks, rng)
+    joined = _with(frame, of_source).withColumn("block", _block(most_blocks))
     last = joined.filter("block = edge").transform(_fitting)
     other = joined.filter("block != edge").withColumn("more", (F.col("block") < F.col("edge")).cast("int"))
     drawn = last.select(*other.columns).union(other).withColumn("copies", F.col("passes") + F.col("more"))
@@ -118,8 +121,17 @@ def plan(
     return rows.back(done, "size", "source_size", "target", "copies", "shards")
 
 
-def _block():
-    return F.expr("cast(cell * blocks div %d as bigint)" % BLOCKS)
+def block_limit(rows: int) -> int:
+    """Blocks of a source at most, a power of two that grows with the rows of the input."""
+    limit = BLOCKS
+    while limit * FULL < rows:
+        limit *= 2
+    return limit
+
+
+def _block(most_blocks: int) -> Column:
+    """A row's block: neighbouring cells, of which there are ``most_blocks``, make one."""
+    return F.expr(f"cast(cast(cell as bigint) * blocks div {most_blocks} as bigint)")
 
 
 def _with(frame: DataFrame, of_source: DataFrame) -> DataFrame:
@@ -128,7 +140,7 @@ def _with(frame: DataFrame, of_source: DataFrame) -> DataFrame:
     return frame.join(named, F.col("source").eqNullSafe(F.col("of"))).drop("of")
 
 
-def _sources(cells: DataFrame, weights: Sequence[float], share: float, most: float) -> list[dict]:
+def _sources(cells: DataFrame, weights: Sequence[float], share: float, most: float, most_blocks: int) -> list[dict]:
     totals = cells.groupBy("source").agg(F.sum("size").alias("size"), F.sum("n").alias("n")).collect()
     ordered = sorted(totals, key=lambda r: (r["source"] is None, r["source"] or ""))
     sizes = [r["size"] for r in ordered]
@@ -136,7 +148,7 @@ def _sources(cells: DataFrame, weights: Sequence[float], share: float, most: flo
     listed = []
     for row, target in zip(ordered, found):
         passes = min(int(target // row["size"]), math.ceil(most)) if row["size"] else 0
-        blocks = min(BLOCKS, 1 << max(0, (row["n"] // BLOCK_ROWS).bit_length() - 1))
+        blocks = min(most_blocks, 1 << max(0, (row["n"] // BLOCK_ROWS).bit_length() - 1))
         room = target - passes * row["size"]
         listed.append(
             {"source": row["source"], "source_size": row["size"], "target": float(target), "passes": passes,
@@ -145,12 +157,12 @@ def _sources(cells: DataFrame, weights: Sequence[float], share: float, most: flo
     return listed
 
 
-def _places(cells: DataFrame, listed: list[dict], shards: int, rng: np.random.Generator) -> DataFrame:
+def _places(cells: DataFrame, listed: list[dict], shards: int, most_blocks: int, rng: np.random.Generator) -> DataFrame:
     """A row per source: where its last pass ends, and how its blocks go to the shards."""
     spark = cells.sparkSession
     fields = "source string, source_size long, target double, passes int, blocks long, room double"
     known = spark.createDataFrame([tuple(x.values()) for x in listed], fields)
-    sizes = _with(cells, known).withColumn("block", _block()).groupBy("source", "block", "room").agg(F.sum("size").alias("size"))
+    sizes = _with(cells, known).withColumn("block", _block(most_blocks)).groupBy("source", "block", "room").agg(F.sum("size").alias("size"))
     along = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ends = sizes.withColumn("end", F.sum("size").over(along)).filter("end > room")
     edges = ends.groupBy("source").agg(

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dqspark.llm.common import Rows
 
-#: Ranges per shard and sampled keys per range: both only steer how even the ranges are, not the result's law.
-RANGES, SAMPLE = 64, 8
+#: Ranges per shard at least, sampled keys per range, and bytes of a range about which more ranges are made: they steer
+#: how even and how large the ranges are, not the result's law.
+RANGES, SAMPLE, RANGE_BYTES = 64, 8, 1 << 29
 _HALF, _LOW = 1 << 31, (1 << 32) - 1
 #: Bytes a record takes besides its text.
 OVERHEAD = 8
@@ -32,13 +33,12 @@ def _keyed(rows: Rows, id: str, text: str) -> DataFrame:
     )
 
 
-def _splitters(keyed: DataFrame, ranges: int, sample: int, seed: int) -> list[int]:
+def _splitters(keyed: DataFrame, total: int, ranges: int, sample: int, seed: int) -> list[int]:
     """Quantiles of a size-weighted sample of keys.
 
     A key is drawn with the chance 1 - exp(-size * rate): its draw -ln(u) / size falls below a rate that makes
     ``ranges * sample`` draws expected at most, however many tasks there are. u is a hash of the key: reruns agree.
     """
-    total = keyed.agg(F.sum("size")).first()[0]
     if not total:
         return []
     u = (F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(1 << 52)) + 1) / float(1 << 52)
@@ -95,17 +95,19 @@ def shard(
     ranges: int = RANGES,
     sample: int = SAMPLE,
     seed: int = 6,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """The documents with ``size`` (bytes of the text and ``OVERHEAD``), ``text_crc32``, ``shard`` and ``slot``.
 
     Shards have near equal bytes. Documents are ordered by a checksum of their text, then by id. Splitters from
-    a size-weighted sample cut that order into ``ranges * shards`` ranges; their exact bytes, a row each, are
-    added up, and a running sum within the range gives each row its place in the whole order. A row goes to the
+    a size-weighted sample cut that order into ``ranges * shards`` ranges, or as many more as make them ``range_bytes`` each;
+    their exact bytes, a row each, are added up, and a running sum within the range gives each row its place in the whole order. A row goes to the
     shard in which its place lies. Equal texts share the place of their middle, and so the shard; but texts with a
-    sixteenth of a shard's bytes or more (so many splitters lie among them) divide by id, over ranges and shards.
+    sixteenth of a shard's bytes or more (so many splitters lie among them), or with those of so many ranges where
+    ``range_bytes`` makes them smaller, divide by id, over ranges and shards.
     ``slot`` counts the rows of a shard in that order, from 0 without gaps.
 
-    No task holds more than a range: raise ``ranges`` with the input, so that one fits a task. The driver gets the
+    No task holds more than a range, and their number follows from the exact bytes of the input. The driver gets the
     sample and a few numbers per range. The input is scanned five times, its columns shuffled once.
 
     A null text is an empty one; a null id is an id like others. Rows that repeat a text and an id are
@@ -114,7 +116,9 @@ def shard(
     """
     rows = Rows(docs)
     keyed = _keyed(rows, id, text)
-    splitters, hot = _at_edges(_splitters(keyed, ranges * shards, sample, seed), max(2, ranges // 16))
+    total = keyed.agg(F.sum("size")).first()[0] or 0
+    many = max(ranges, -(-total // (shards * range_bytes)))
+    splitters, hot = _at_edges(_splitters(keyed, total, many * shards, sample, seed), max(2, ranges // 16))
     keyed = keyed.withColumn("range", _range_of(splitters))
     narrow = keyed.select("range", "key", "crc", "size", F.col(rows.of[id]).alias("id"))
     totals = narrow.groupBy("range").agg(F.sum("size").alias("size")).collect()
