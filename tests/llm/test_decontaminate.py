@@ -62,14 +62,43 @@ def test_nothing_is_found_without_the_cosine(planted):
     assert off == {key: share for key, share in _found(planted, None).items() if not served[key[1]]}
 
 
-def test_hosts_are_a_sample_of_different_blocks(spark):
-    texts = [np.arange(40, dtype=np.int32)] * 50 + [np.full(3, i, dtype=np.int32) for i in range(30)] + [np.zeros(0, np.int32)]
-    rows = [(i, hash(t.tobytes()) % 2**62, bytearray(t.tobytes())) for i, t in enumerate(texts)]
-    drawn = decontaminate.hosts(spark.createDataFrame(rows, "id long, hash long, codes binary").repartition(3))
-    assert len(drawn) == 33 and drawn.shape[1] == 2 * decontaminate.PASSAGE
-    assert len(np.unique(drawn[:, : decontaminate.PASSAGE], axis=0)) == 33
-    none = spark.createDataFrame([], "id long, hash long, codes binary")
-    assert (decontaminate.hosts(none) == -1).all()
+def test_cosines_follow_from_all_windows(spark):
+    """Moments as over all windows at once, however the documents are split; one document more changes them."""
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(-1, 50, rng.integers(0, 90)).astype(np.int32) for _ in range(700)]
+    space = np.vstack([rng.standard_normal((50, 6)), np.zeros((1, 6))]).astype(np.float32)
+
+    def found(texts):
+        frame = spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "codes binary").repartition(3)
+        return decontaminate.all_windows(frame, space)
+
+    n = decontaminate.PASSAGE
+    places = np.array([space[t[i : i + 2 * n]].sum(axis=0) for t in texts for i in range(0, len(t), n)], dtype=np.float64)
+    lengths, moments = (places**2).sum(axis=1), found(texts)
+    assert np.allclose(moments.mean, places.mean(axis=0), atol=1e-4)
+    assert np.allclose(moments.spread, np.cov(places.T, bias=True), atol=1e-3)
+    assert np.isclose(moments.length, lengths.mean()) and np.isclose(moments.length_spread, lengths.var(), rtol=1e-4)
+    assert found([*texts, np.full(90, 7, dtype=np.int32)]).length > moments.length
+    assert found([]).length == 0
+
+
+def test_power_is_that_of_the_whole_matrix(monkeypatch):
+    """Words counted in pairs, also when a task holds few: as the blocks' matrix multiplied out."""
+    rng = np.random.default_rng(6)
+    blocks = rng.integers(-1, 40, (300, decontaminate.PASSAGE)).astype(np.int32)
+    idf = np.append(rng.random(38), [0, 0])
+    weighted = np.vstack([rng.standard_normal((40, 5)) * idf[:, None], np.zeros((1, 5))]).astype(np.float32)
+    has = np.zeros((300, 41))
+    np.add.at(has, (np.repeat(np.arange(300), decontaminate.PASSAGE), blocks.ravel()), 1)
+    has[:, -1] = 0
+    whole = (has.T @ (has @ weighted))[:40] * idf[:, None]
+    for held in (4_000_000, 100):
+        monkeypatch.setattr(decontaminate, "HELD", held)
+        batch = pa.RecordBatch.from_pydict({"codes": [b.tobytes() for b in blocks]})
+        (out,) = decontaminate._power(weighted, idf, iter([batch.slice(0, 90), batch.slice(90)]))
+        total = np.zeros((40, 5))
+        total[out["code"].to_numpy()] = out["row"].to_pylist()
+        assert np.allclose(total, whole, rtol=1e-4, atol=1e-3)
 
 
 def test_marks_meet_in_pieces(monkeypatch):
