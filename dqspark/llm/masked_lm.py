@@ -20,8 +20,8 @@ WORDS, CLASS = 992, 32
 SHAPES, EDGE = 32, WORDS + 32
 #: Tokens on either side, numbers of a token's embedding, and of the hidden layer.
 SIDE, EMBEDDED, HIDDEN = 2, 16, 32
-#: Share of the positions that training masks, positions of a step and of a scoring batch, training rounds.
-MASKED, STEP, BATCH, ROUNDS = 0.05, 512, 16384, 2
+#: Positions of a training step and of a scoring batch, and training rounds: each position is predicted in one of them.
+STEP, BATCH, ROUNDS = 4096, 16384, 2
 RATE, CHUNK, FAN = 0.1, 4096, 64
 #: Different words after which a task ends a chunk of texts, and the place of texts behind the words of their chunk.
 HELD, LAST = 400_000, (1 << 31) - 1
@@ -172,43 +172,52 @@ def _hidden(net: dict[str, np.ndarray], around: np.ndarray) -> tuple[np.ndarray,
     return seen, np.tanh(seen @ net["inner"] + net["bias"])
 
 
+def _by_class(token: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An order of the tokens by class; their classes and places in these, so ordered; and where each class begins."""
+    group, member = np.divmod(token, CLASS)
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    return order, group, member[order], np.searchsorted(group, np.arange(EDGE // CLASS + 1))
+
+
 def log_probabilities(net: dict[str, np.ndarray], around: np.ndarray, token: np.ndarray) -> np.ndarray:
     """log P(token | the tokens around it): of its class, and of itself in the class."""
-    _, hidden = _hidden(net, around)
-    group, member = np.divmod(token, CLASS)
+    order, group, member, bounds = _by_class(token)
+    _, hidden = _hidden(net, around[order])
     found = _log_softmax(hidden @ net["classes"] + net["class_bias"])[np.arange(len(token)), group]
-    order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(EDGE // CLASS + 1))
     for g in np.flatnonzero(np.diff(bounds)):
-        rows = order[bounds[g] : bounds[g + 1]]
+        rows = slice(bounds[g], bounds[g + 1])
         inside = _log_softmax(hidden[rows] @ net["tokens"][g] + net["token_bias"][g])
-        found[rows] += inside[np.arange(len(rows)), member[rows]]
-    return found
+        found[rows] += inside[np.arange(len(inside)), member[rows]]
+    back = np.empty_like(found)
+    back[order] = found
+    return back
 
 
 def gradients(net: dict[str, np.ndarray], around: np.ndarray, token: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean negative log-probability, by backpropagation."""
     n = len(token)
     grads = {name: np.zeros_like(value) for name, value in net.items()}
+    order, group, member, bounds = _by_class(token)
+    around = around[order]
     seen, hidden = _hidden(net, around)
-    group, member = np.divmod(token, CLASS)
     error = np.exp(_log_softmax(hidden @ net["classes"] + net["class_bias"]))
     error[np.arange(n), group] -= 1
     error /= n
     grads["classes"], grads["class_bias"] = hidden.T @ error, error.sum(axis=0)
     back = error @ net["classes"].T
-    order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(EDGE // CLASS + 1))
     for g in np.flatnonzero(np.diff(bounds)):
-        rows = order[bounds[g] : bounds[g + 1]]
+        rows = slice(bounds[g], bounds[g + 1])
         error = np.exp(_log_softmax(hidden[rows] @ net["tokens"][g] + net["token_bias"][g]))
-        error[np.arange(len(rows)), member[rows]] -= 1
+        error[np.arange(len(error)), member[rows]] -= 1
         error /= n
         grads["tokens"][g], grads["token_bias"][g] = hidden[rows].T @ error, error.sum(axis=0)
         back[rows] += error @ net["tokens"][g].T
     back *= 1 - hidden * hidden
     grads["inner"], grads["bias"] = seen.T @ back, back.sum(axis=0)
-    np.add.at(grads["embed"], around.ravel(), (back @ net["inner"].T).reshape(-1, EMBEDDED))
+    places = around[:, :, None] * EMBEDDED + np.arange(EMBEDDED)
+    embed = np.bincount(places.ravel(), (back @ net["inner"].T).ravel(), grads["embed"].size)
+    grads["embed"] = embed.reshape(grads["embed"].shape).astype(grads["embed"].dtype)
     return grads
 
 
@@ -228,8 +237,13 @@ def _sequences(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray,
             first, held = i + 1, []
 
 
-def _train(net: dict[str, np.ndarray], round_: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One task's training: from the common weights, over masked positions of all its texts; then its weights."""
+def _train(
+    net: dict[str, np.ndarray], round_: int, rounds: int, batches: Iterator[pa.RecordBatch]
+) -> Iterator[pa.RecordBatch]:
+    """One task's training: from the common weights, over this round's positions of all its texts; then its weights.
+
+    A text's first position is the first round's, the next one the second's and so on, so the rounds miss none.
+    """
     net = {name: value.copy() for name, value in net.items()}
     squares = {name: np.full_like(value, 1e-6) for name, value in net.items()}
     waiting: list[tuple[np.ndarray, np.ndarray]] = []
@@ -249,8 +263,9 @@ def _train(net: dict[str, np.ndarray], round_: int, batches: Iterator[pa.RecordB
         waiting = [(around[order[end:]], token[order[end:]])]
 
     for batch in batches:
-        for codes, _, _ in _sequences(batch):
-            at = np.flatnonzero((codes != EDGE) & (rng.random(len(codes)) < MASKED))
+        for codes, lengths, _ in _sequences(batch):
+            place = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            at = np.flatnonzero(codes != EDGE)[place % rounds == round_]
             waiting.append((_around(codes, at), codes[at].astype(np.int64)))
             seen += len(at)
             if sum(len(t) for _, t in waiting) > 8 * STEP:
@@ -287,14 +302,14 @@ def _sum(table: pa.Table) -> pa.Table:
 def train(encoded: DataFrame, seed: int = 4, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
     """Train over all texts: in a round each task starts from the common weights, and the results are averaged.
 
-    Each task masks ``MASKED`` of the positions of its own part, by a seed, so training grows with the input. Weights
+    In the rounds together each task predicts every position of its own part once. Weights
     meet by number of positions, in pieces, along a tree: no group sums over ``FAN`` tasks' pieces in its first steps.
     The driver gets one set of weights a round, whose size is fixed.
     """
     net = initial(seed)
     schema = "chunk int, task long, n long, weights binary"
     for round_ in range(rounds):
-        parts = mapped(encoded.select("codes"), partial(_train, net, round_), schema)
+        parts = mapped(encoded.select("codes"), partial(_train, net, round_, rounds), schema)
         for _ in range(2):
             parts = parts.groupBy("chunk", F.floor(F.col("task") / FAN).alias("branch")).applyInArrow(_sum, schema)
         parts = parts.groupBy("chunk").applyInArrow(_sum, schema)

@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from dqspark.llm import decontaminate, embeddings, masked_lm, mixing, pii, quality, secrets, sharding, simhash, urls
-from dqspark.llm.common import word_count
+from dqspark.llm.common import mapped, word_count
 from dqspark.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -392,6 +393,18 @@ def test_lm_scores(spark, docs, rows, none):
     assert masked_lm.scores(none).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3])
+def test_lm_learns_from_every_position(spark, docs, rows, rounds):
+    """The rounds together predict each token of each document once, whatever the tasks."""
+    encoded, net = masked_lm.encode(docs.selectExpr("doc_id AS id", "text").repartition(3)), masked_lm.initial()
+    schema = "chunk int, task long, n long, weights binary"
+    learnt = 0
+    for round_ in range(rounds):
+        parts = mapped(encoded.select("codes"), partial(masked_lm._train, net, round_, rounds), schema)
+        learnt += sum(r.n for r in parts.filter("chunk = 0").collect())
+    assert learnt == sum(len((r["text"] or "").encode().lower().split()) for r in rows) > 0
+
+
 def test_lm_uses_both_sides(spark):
     """Words in a fixed round are told from their neighbours, far better than by how common they are; mixed ones are not."""
     n, words = 24, [f"w{i}" for i in range(24)]
