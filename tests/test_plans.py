@@ -10,6 +10,7 @@ from dqspark.operators.violations import duplicated_rows, orphans
 from dqspark.plans import monitor as m
 from dqspark.plans import warehouse as w
 from dqspark.plans.rulesets import OBT_SCAN, OBT_SUITE
+from dqspark.registry import suites
 from dqspark.registry.inputs import given, raw_sales
 from dqspark.sources.writers import upsert
 
@@ -171,3 +172,23 @@ def test_monitoring_joins_nothing(spark):
     scans = spark.createDataFrame([], "`table` string, `column` string, metric string, outcome string, datetime string")
     text = plan(m.fail_pct_over_time(scans))
     assert "Join" not in text and text.count("hashpartitioning") <= 1
+
+
+def test_facts_join_the_sales_once(spark, sf_dir):
+    """Tables that read the sales several times read them written down; a dimension reads the given tables itself."""
+
+    def reads_lines(table):
+        return any("/lineitem" in f for f in table.inputFiles())
+
+    tables = suites.warehouse_tables(spark, sf_dir)
+    assert not any(reads_lines(tables[name]) for name in suites.TABLES)
+    assert reads_lines(suites.warehouse_tables(spark, sf_dir, facts=False)["dim_product"])
+
+
+def test_lines_meet_orders_that_have_their_customer(spark, sf_dir):
+    """Of the joins of the sales one is without lines, and that with parts is the last."""
+    plan = raw_sales(spark, sf_dir)._jdf.queryExecution().analyzed().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert [next(k for k in ("p_partkey", "c_custkey", "l_orderkey") if k in j) for j in joins] == [
+        "p_partkey", "l_orderkey", "c_custkey",
+    ]
