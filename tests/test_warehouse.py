@@ -197,3 +197,18 @@ def test_many_sales_meet_their_parts_in_a_shuffle(spark, sf_dir, monkeypatch):
     plan = many._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin [l_partkey" in plan and "hashpartitioning(l_partkey" in plan
     assert many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
+
+
+def test_what_is_paid_is_counted_in_whole_cents_where_it_can_be(spark):
+    from dqspark.registry import inputs
+
+    prices = [0.0, -0.0, 0.01, 0.05, 1.15, 8.25, 1234.5, 99999.99, 1e6, 0.005, 1.005, -0.01, -7.5, 1e6 + 0.01, 1e9, None]
+    shares = [0.0, -0.0, 0.02, 0.07, 0.1, 0.5, 1.0, 0.005, 1.01, -0.01, None]
+    rows = spark.createDataFrame([(p, d) for p in prices for d in shares], "price double, discount double")
+    price, discount = F.col("price"), F.col("discount")
+    fast, exact = inputs._paid_cents(price, discount), inputs._paid(price, discount)
+    seen = rows.select("price", "discount", fast.alias("fast"), exact.alias("exact")).collect()
+    for r in seen:
+        usual = r.price in prices[:9] and r.discount in shares[:7]
+        assert (r.fast is not None) == usual, r
+        assert r.fast is None or r.fast == r.exact, r
