@@ -15,7 +15,7 @@ from dqspark.plans.rulesets import MODEL_TESTS, OBT_SCAN
 from dqspark.registry import sql
 from dqspark.registry.results import OUTCOME_COLUMNS
 from dqspark.registry.suites import OBT_SCAN_CHECKS, RULESET_CHECKS, TEST_CHECKS
-from dqspark.session import scratch_path, stored
+from dqspark.session import scratch_path
 from dqspark.sources.buckets import upsert_buckets
 from dqspark.sources.readers import (
     load_tables,
@@ -264,8 +264,11 @@ _FIRST = ("1-URGENT", "2-HIGH")
 
 
 def refreshed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales per user and category kept up to date by change sets: some priorities first, then the others."""
-    out, raw = scratch_path(spark, "warehouse"), stored(raw_sales(spark, sf_dir), "raw-sales")
+    """Sales per user and category kept up to date by change sets: some priorities first, then the others.
+
+    Each increment's texts are made for the orders of its priorities alone. Making them once and writing them down takes longer.
+    """
+    out, raw = scratch_path(spark, "warehouse"), raw_sales(spark, sf_dir)
     first = F.coalesce(F.col("review_title").isin(*_FIRST), F.lit(False))
     for increment in (raw.filter(first), raw.filter(~first)):
         refresh_changes(spark, increment, out, last_review(), buckets=8, check=False)

@@ -212,3 +212,19 @@ def test_what_is_paid_is_counted_in_whole_cents_where_it_can_be(spark):
         usual = r.price in prices[:9] and r.discount in shares[:7]
         assert (r.fast is not None) == usual, r
         assert r.fast is None or r.fast == r.exact, r
+
+
+def test_an_increment_makes_the_texts_of_its_own_orders(spark, sf_dir, monkeypatch):
+    """The priorities are filtered where orders are read, not after all texts are made; together the increments are all sales."""
+    from dqspark.registry import inputs, tables
+
+    seen = []
+    monkeypatch.setattr(tables, "refresh_changes", lambda spark, increment, *args, **options: seen.append(increment))
+    monkeypatch.setattr(tables, "read_table", lambda *args: None)
+    tables.refreshed_changes(spark, sf_dir)
+    first, others = seen
+    for increment in seen:
+        plan = increment._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"Filter \(+(NOT )?coalesce\(o_orderpriority", plan)
+    raw, both = inputs.raw_sales(spark, sf_dir), first.unionAll(others)
+    assert both.exceptAll(raw).isEmpty() and raw.exceptAll(both).isEmpty()
