@@ -13,15 +13,18 @@ from dqspark.llm.common import quoted
 from dqspark.session import stored
 
 _CREDENTIAL = "token|secret|passw|pwd|api.?key|auth|credential|bearer|private"
-#: A value that a credential's name is given, of any length from four signs on. The short look behind fails at once at most
+#: Signs that keys are made of: letters, digits, and these. No candidate begins right behind one, so most places fail at once.
+_SIGN = "[\\w+/-]"
+#: A value that a credential's name is given, of any length from four signs on. The short looks behind fail at once at most
 #: places, so the long one is seldom tried.
 _ASSIGNED = (
-    f"(?<=[:=]\\s{{0,2}}[\"']?)(?<=(?i:{_CREDENTIAL})[A-Za-z_]{{0,12}}[\"']?\\s{{0,2}}[:=]\\s{{0,2}}[\"']?)"
+    "(?<=[:=\\s\"'])(?<=[:=]\\s{0,2}[\"']?)"
+    f"(?<=(?i:{_CREDENTIAL})[A-Za-z_]{{0,12}}[\"']?\\s{{0,2}}[:=]\\s{{0,2}}[\"']?)"
     "[^\\s\"'<>(){}\\[\\],;]{4,}+"
 )
 #: Runs of signs that keys are made of, long enough for one, with padding at the end; none starts within another.
-_RUN = "(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}+"
-CANDIDATE = f"{_ASSIGNED}|{_RUN}"
+_RUN = f"{_SIGN}{{16,}}+={{0,2}}+"
+CANDIDATE = f"(?<!{_SIGN})(?:{_ASSIGNED}|{_RUN})"
 #: Code points of the text before a candidate, and after it, in which neighbouring words are sought.
 BEFORE, AFTER = 40, 20
 #: Words of the dictionary at most, and their length; labelled findings that are learnt from at most; trees.
@@ -83,7 +86,9 @@ def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text", path: st
     spans = F.arrays_zip(starts.alias("start"), F.col("found").alias("value"))
     return (
         found.withColumn("spans", spans)
-        .withColumn("span", F.explode("spans"))
+        # Each text has a candidate, so the outer form adds no row; for the other Spark would put a filter on the whole of
+        # ``spans`` below the scan, and match the pattern anew there for each use of each candidate.
+        .withColumn("span", F.explode_outer("spans"))
         .withColumns({"start": F.col("span.start"), "value": F.col("span.value")})
         .withColumn("end", F.col("start") + F.length("value"))
         .withColumn("before", F.expr(f"substring(text, greatest(start - {BEFORE}, 0) + 1, least(start, {BEFORE}))"))

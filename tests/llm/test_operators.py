@@ -9,6 +9,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -440,6 +441,25 @@ def test_secrets(spark, sf_dir, docs, none):
     assert secrets.scan(none).count() == 0
 
 
+def test_secrets_match_a_text_once(spark):
+    """No filter that Spark infers matches the pattern again; spans are those of the pattern without its short cuts."""
+    names = "token|secret|passw|pwd|api.?key|auth|credential|bearer|private"
+    plain = regex.compile(
+        rf"""(?<=(?i:{names})[A-Za-z_]{{0,12}}["']?\s{{0,2}}[:=]\s{{0,2}}["']?)[^\s"'<>(){{}}\[\],;]{{4,}}+"""
+        r"|(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}+",
+        regex.ASCII,
+    )
+    parts = ["token", "API-key", "Auth_x", "pwd", "=", ":", '"', "'", " ", "  ", "\n", "ab12", "é", "-_/+", "x" * 9, "Q7" * 8, ";", "😀"]
+    rng = np.random.default_rng(7)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(800)] + [None, "", "token_aaaaaaaaaaaaaaaa=abcd"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.candidates(docs, path=None)
+    wanted = [(i, m.start(), m.end(), m[0]) for i, t in enumerate(texts) for m in plain.finditer(t or "")]
+    assert len(wanted) > 800 and sorted((r.id, r.start, r.end, r.value) for r in found.collect()) == wanted
+    plan = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert [plan.count(f"{f}(") for f in ("rlike", "regexp_extract_all", "split")] == [1, 1, 1]
+
+
 def test_secrets_seeds(spark):
     """Words near a secret do not make it a placeholder; runs that are no keys are there to learn from."""
     key = "269b58ed0c1f4a7e93d2b6a8f05c7d1e4b3a2960"
