@@ -47,9 +47,12 @@ def stg_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sales as a CSV file, read back as text and staged."""
+    """The sales as a CSV file, read back as text and staged.
+
+    Plain, the file takes more disk than all shuffles before it, which are still there while it is written.
+    """
     path = scratch_path(spark, "sales-csv")
-    write_csv(raw_sales(spark, sf_dir), path)
+    write_csv(raw_sales(spark, sf_dir), path, "gzip")
     return w.cast_columns(read_csv(spark, path, w.RAW_SCHEMA))
 
 

@@ -17,10 +17,19 @@ from dqspark.sources.files import remove_folder
 from dqspark.sources.snapshots import read_snapshot, snapshots, write_snapshot
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Headered CSV that ``read_csv`` reads back as it was, spaces included."""
+#: Rows of a compressed CSV file at most.
+ROWS_A_FILE = 250_000
+
+
+def write_csv(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Headered CSV that ``read_csv`` reads back as it was, spaces included.
+
+    ``compression`` names a codec, such as ``gzip``. A file is then read by one task, so a task that writes many rows
+    makes several files.
+    """
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(header=True, escape='"', **spaces).csv(path)
+    files = {"compression": compression, "maxRecordsPerFile": ROWS_A_FILE} if compression else {}
+    df.write.options(header=True, escape='"', **spaces, **files).csv(path)
 
 
 def upsert(

@@ -12,7 +12,8 @@ from dqspark.operators.evaluate import CheckFailed, evaluate, evaluate_all
 from dqspark.operators.rules import not_null, row_count
 from dqspark.plans import warehouse as w
 from dqspark.plans.rulesets import DIM_RULESETS, FACT_RULESETS
-from dqspark.sources.readers import load_tables
+from dqspark.registry import tables
+from dqspark.sources.readers import load_tables, read_csv
 from dqspark.sources.snapshots import read_snapshot
 from dqspark.sources.writers import append_results, write_csv
 
@@ -180,6 +181,34 @@ def test_csv_goes_by_its_header(spark, sales, tmp_path):
     assert [r["review_content"] for r in read_snapshot(spark, str(tmp_path / "b/obt_sales")).collect()] == ["one\ntwo"]
 
 
+def test_csv_of_sales_takes_little_disk(spark, tmp_path, monkeypatch):
+    """The CSV that is staged is compressed, has all sales, and reads back as it was: quotes, commas, spaces, NULLs, repeats."""
+    base, i = str(tmp_path), F.col("id")
+    odd = F.element_at(F.array(*[F.lit(v) for v in ('a "b", c', " two  ", "₹é", "\\", None, "x\ty")]), (i % 6 + 1).cast("int"))
+    made = {
+        "lineitem": [(i % 500).alias("l_orderkey"), F.when(i % 50 != 0, i % 40).alias("l_partkey"), (i % 7 + 1).alias("l_linenumber"),
+                     (i % 50).cast("double").alias("l_quantity"), (i * 1.01).cast("double").alias("l_extendedprice"),
+                     F.lit(0.05).alias("l_discount"), F.lit("A").alias("l_returnflag"), odd.alias("l_linestatus")],
+        "orders": [F.when(i % 3000 < 490, i % 490).alias("o_orderkey"), (i % 20).alias("o_custkey"),
+                   odd.alias("o_orderpriority"), odd.alias("o_orderstatus")],
+        "part": [(i % 39).alias("p_partkey"), odd.alias("p_name"), odd.alias("p_type"), odd.alias("p_brand"), i.alias("p_size")],
+        "customer": [i.alias("c_custkey"), odd.alias("c_name")],
+    }
+    for (name, columns), n in zip(made.items(), (3000, 600, 45, 20)):
+        spark.range(n).select(*columns).write.parquet(f"{base}/{name}.parquet")
+    monkeypatch.setattr(tables, "scratch_path", lambda spark, label: f"{base}/kept")
+    staged, raw = tables.csv_stage(spark, base), tables.raw_sales(spark, base)
+    write_csv(raw, f"{base}/plain")
+
+    def disk(folder):
+        return sum(f.stat().st_size for f in (tmp_path / folder).glob("part-*"))
+
+    assert all(f.name.endswith(".csv.gz") for f in (tmp_path / "kept").glob("part-*")) and 0 < disk("kept") < disk("plain") / 2
+    assert raw.count() > 2000
+    for found, wanted in ((read_csv(spark, f"{base}/kept"), raw), (staged, w.cast_columns(raw))):
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+
+
 def test_results_can_be_appended(spark, sales, tmp_path):
     results = evaluate(sales, [row_count()])
     append_results(results, str(tmp_path / "r"))
